@@ -9,7 +9,7 @@ A message that no `open` names has role "". Null text: empty. Null turn: first.
 conversation whose messages are all dropped gives no row.
 
 Rendering: `<|role|>` and a line feed, the text, `<|end|>` and a line feed. In roles and texts, `\\` becomes `\\b`, `<` becomes
-`\\l` and `[` becomes `\\k`, so no control string of this template or of the other common ones can come from a text, and the change can be
+`\\l` and `[` becomes `\\k` (and in roles `|` becomes `\\p`), so no control string of this template or of the other common ones can come from a text, and the change can be
 undone. The loss mask lists for each assistant turn the code points, from the start of the turn's rendering, that a model is to learn.
 
 A message is folded in a group of its own, and a conversation meets only when it is rendered: its one string needs all of its turns.
@@ -29,8 +29,13 @@ def escape(c: Column) -> Column:
     return F.replace(F.replace(F.replace(c, F.lit("\\"), F.lit("\\b")), F.lit("<"), F.lit("\\l")), F.lit("["), F.lit("\\k"))
 
 
+def escape_role(c: Column) -> Column:
+    return F.replace(escape(c), F.lit("|"), F.lit("\\p"))
+
+
 def unescape(c: Column) -> Column:
-    return F.replace(F.replace(F.replace(c, F.lit("\\l"), F.lit("<")), F.lit("\\k"), F.lit("[")), F.lit("\\b"), F.lit("\\"))
+    c = F.replace(F.replace(c, F.lit("\\l"), F.lit("<")), F.lit("\\k"), F.lit("["))
+    return F.replace(F.replace(c, F.lit("\\p"), F.lit("|")), F.lit("\\b"), F.lit("\\"))
 
 
 def fold(log: DataFrame) -> DataFrame:
@@ -48,7 +53,7 @@ def fold(log: DataFrame) -> DataFrame:
 
 def render(messages: DataFrame, learn: str = "assistant") -> DataFrame:
     """One row a conversation: conv, formatted, loss_mask array<struct<turn, start, end>> (turn from 0; code points; end exclusive)."""
-    role = escape(F.coalesce("role", F.lit("")))
+    role = escape_role(F.coalesce("role", F.lit("")))
     body = escape(F.coalesce("text", F.lit("")))
     head = F.concat(F.lit("<|"), role, F.lit("|>\n"))
     part = F.struct("turn", head.alias("head"), body.alias("body"), (F.col("role") == learn).alias("learn"))
@@ -80,5 +85,6 @@ def log_of(rows: DataFrame) -> DataFrame:
     first, second = F.substring(text, F.lit(1), half), F.substring(text, half + 1, F.length(text))
     plain = F.array(of(0, "open", F.lit("")), of(1, "delta", first), of(2, "delta", second))
     again = F.array(of(0, "open", F.lit("")), of(1, "delta", F.substring(text, 1, 8)), of(2, "regenerate", F.lit("")), of(3, "delta", first), of(4, "delta", second))
-    events = rows.select("conv_id", number.alias("n"), "role", F.explode(F.when(F.col("role") == "assistant", again).otherwise(plain)).alias("e"))
+    numbered = rows.select("conv_id", "turn", "role", "text").withColumn("n", number)  # before the explode, which would number events
+    events = numbered.select("conv_id", "n", "role", F.explode(F.when(F.col("role") == "assistant", again).otherwise(plain)).alias("e"))
     return events.select(F.col("conv_id").alias("conv"), F.col("e.seq").alias("seq"), F.col("n").alias("turn"), F.col("e.kind").alias("kind"), "role", F.col("e.text").alias("text"))

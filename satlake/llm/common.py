@@ -6,11 +6,14 @@ import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Python work on texts goes in runs of documents of about this many characters, whatever the Arrow batch holds.
-CHUNK_CHARS = 3_000_000
+#: Python work on texts goes in runs of documents of about this many bytes, whatever the Arrow batch holds.
+CHUNK_BYTES = 600_000
+#: Bytes of an Arrow batch to and from Python, of which a task holds a few at once; a longer row is a batch of its own.
+BATCH_BYTES = "4m"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,18 +33,21 @@ def reliable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def in_chunks(texts: list[str], most: int = CHUNK_CHARS) -> Iterator[list[str]]:
-    """Consecutive runs of texts of about `most` characters; a longer text is a run of its own."""
-    run: list[str] = []
-    size = 0
-    for t in texts:
-        if run and size + len(t) > most:
-            yield run
-            run, size = [], 0
-        run.append(t)
-        size += len(t)
-    if run:
-        yield run
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def texts_of(array: pa.Array) -> Iterator[list[str]]:
+    """Consecutive runs of an array's texts (null: empty), each made into Python strings only when it is reached."""
+    size = pc.binary_length(array).fill_null(0).to_numpy(zero_copy_only=False)
+    at = 0
+    while at < len(array):
+        end, total = at + 1, int(size[at])
+        while end < len(array) and total + size[end] <= CHUNK_BYTES:
+            total += int(size[end])
+            end += 1
+        yield [t or "" for t in array.slice(at, end - at).to_pylist()]
+        at = end
 
 
 def text_udf(work: Callable[[], Callable[[list[str]], Iterable]], returns: str, kind: pa.DataType) -> Callable[[Column | str], Column]:
@@ -51,10 +57,9 @@ def text_udf(work: Callable[[], Callable[[list[str]], Iterable]], returns: str,
     def run(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
         f = work()
         for a in arrays:
-            texts = [t or "" for t in a.to_pylist()]
-            parts = [pa.array(list(f(c)), type=kind) for c in in_chunks(texts)]
-            out = pa.chunked_array(parts, type=kind).combine_chunks() if parts else pa.array([], type=kind)
-            yield out.combine_chunks() if isinstance(out, pa.ChunkedArray) else out
+            parts = [pa.array(list(f(c)), type=kind) for c in texts_of(a)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], type=kind)
+            pa.default_memory_pool().release_unused()
 
     run.__annotations__ = {"arrays": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, returns)
