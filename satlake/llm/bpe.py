@@ -17,17 +17,18 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from satlake.llm.common import put, text_udf
+from satlake.llm.common import put, small_batches, text_udf
 
 NONE = np.int64(1) << 40
 LONG = 1024
-CELLS = 2_000_000
+CELLS = 250_000
 EDGES = (2, 3, 4, 6, 8, 11, 16, 24, 40, 80, 200, 500, LONG)
 
 
@@ -37,7 +38,7 @@ class PairTable:
     MULT = np.uint64(0x9E3779B97F4A7C15)
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 4))))
+        self.bits = max(4, int(np.ceil(np.log2(max(1, len(keys)) * 3))))
         self.mask = (1 << self.bits) - 1
         self.keys = np.full(1 << self.bits, -1, np.int64)
         self.values = np.full(1 << self.bits, NONE, np.int64)
@@ -78,15 +79,6 @@ class Codec:
         self.rank = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         self.n = max(self.rank.values()) + 1
         self.byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int64)
-        keys, values = [], []
-        for token, r in self.rank.items():
-            for i in range(1, len(token)):
-                a, b = self.rank.get(token[:i]), self.rank.get(token[i:])
-                if a is not None and b is not None:
-                    keys.append(a * self.n + b)
-                    values.append(r)
-        self.pairs = PairTable(np.array(keys, np.int64), np.array(values, np.int64))
-        self.merge = dict(zip(keys, values, strict=True))
         lengths = np.zeros(self.n + 1, np.int64)
         for token, r in self.rank.items():
             lengths[r + 1] = len(token)
@@ -96,6 +88,25 @@ class Codec:
             flat[self.start[r] : self.start[r] + len(token)] = token
         self.flat = np.frombuffer(bytes(flat), np.uint8)
 
+    def _joins(self) -> tuple[list[int], list[int]]:
+        """All pairs that may merge: first token times n plus second, and the rank of both together."""
+        keys, values = [], []
+        for token, r in self.rank.items():
+            for i in range(1, len(token)):
+                a, b = self.rank.get(token[:i]), self.rank.get(token[i:])
+                if a is not None and b is not None:
+                    keys.append(a * self.n + b)
+                    values.append(r)
+        return keys, values
+
+    @cached_property
+    def pairs(self) -> PairTable:
+        return PairTable(*[np.array(x, np.int64) for x in self._joins()])
+
+    @cached_property
+    def merge(self) -> dict[int, int]:
+        return dict(zip(*self._joins(), strict=True))
+
     def _matrix(self, rows: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Rows of one bucket: (their places, their ids), as they are done."""
         size = np.fromiter(map(len, rows), np.int64, len(rows))
@@ -216,6 +227,7 @@ def read_ranks(path: str) -> bytes:
 
 def encode(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", out: str = "token_ids") -> DataFrame:
     """Add the ids of each whole text (null: empty), array<int>."""
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(ranks)
     work: Callable = lambda: _codec(shared.value, pattern).encode
     return put(df, out, text_udf(work, "array<int>", pa.list_(pa.int32()))(F.col(text)))
