@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from satlake.llm import ann, bpe, chat, linededup, mixing, ngramjoin, pii, quality, secrets, sharding
+from satlake.llm import ann, bpe, chat, linededup, mixing, ngramjoin, oracles, pii, quality, secrets, sharding
 from satlake.llm.common import documents
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -97,4 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_line_dedup": op10_line_dedup,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_secret_scan": oracles.secret_scan(),
+    "op4_shards": oracles.shards(SHARDS),
+    "op5_chat": oracles.chats(),
+}

@@ -171,7 +171,7 @@ def scan(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", out
     rank = F.create_map(*[x for k, i in order.items() for x in (F.lit(k), F.lit(i))])
     all_spans = F.array_sort(F.transform(F.flatten(F.array(*parts)), lambda s: F.struct(s["start"].alias("start"), rank[s["kind"]].alias("rank"), s["kind"].alias("kind"), s["end"].alias("end"))))
     spans = F.transform(all_spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    return asked.select(f"{row}.*", spans.alias("__spans")).drop(out).withColumnRenamed("__spans", out)
+    return asked.select(*[F.col(f"{row}.`{c}`").alias(c) for c in df.columns if c != out], spans.alias(out))
 
 
 def digest(spans: Column) -> Column:
