@@ -14,15 +14,17 @@ the base rules; empty text likewise. Unknown or null language: the band of the s
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from satlake.llm.common import put, text_udf
+from satlake.llm.common import put, small_batches, text_udf
 
 SYMBOLS = "#*$%&|<>"
 
@@ -66,6 +68,7 @@ class Rules:
 
 
 KIND = pa.struct([(n, pa.int64()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_tokens", "n_byte_tokens")] + [("token_bits", pa.float64()), ("script", pa.string())])
+NAMES = [f.name for f in KIND]
 RETURNS = "struct<n_words: bigint, word_chars: bigint, n_symbols: bigint, n_dup_lines: bigint, n_repeat_words: bigint, n_tokens: bigint, n_byte_tokens: bigint, token_bits: double, script: string>"
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x94D049BB133111EB, 0xBF58476D1CE4E5B9], np.uint64)
 
@@ -85,7 +88,7 @@ def repeated(words: np.ndarray, start: np.ndarray, window: int) -> np.ndarray:
         mixed = (mixed ^ (mixed >> np.uint64(29))) * _ODD[k % len(_ODD)] + w[at + k] * _ODD[(k + 3) % len(_ODD)] + np.uint64(k)
     mixed ^= mixed >> np.uint64(32)
     mixed = mixed * _ODD[0] + doc[at].astype(np.uint64) * _ODD[5]
-    order = np.argsort(mixed, kind="stable")
+    order = np.argsort(mixed)
     same = mixed[order][1:] == mixed[order][:-1]
     hits = np.flatnonzero(same)
     if not len(hits):
@@ -106,75 +109,106 @@ def repeated(words: np.ndarray, start: np.ndarray, window: int) -> np.ndarray:
     return np.bincount(doc[covered], minlength=docs).astype(np.int64)
 
 
-def _measure(model: bytes, window: int) -> Callable[[list[str]], list]:
-    import sentencepiece
-
-    vocabulary = sentencepiece.SentencePieceProcessor(model_proto=model)
-    is_byte = np.array([vocabulary.IsByte(i) for i in range(vocabulary.GetPieceSize())])
-    names = [*SCRIPTS, ""]
-
-    def script_counts(word: str) -> list[int]:
-        counts = [0] * len(SCRIPTS)
-        if word.isascii():
-            counts[0] = sum(map(str.isalpha, word))
-            return counts
-        for c in word:
-            if c.isalpha():
-                for k, spans in enumerate(SCRIPTS.values()):
-                    if any(a <= ord(c) < b for a, b in spans):
-                        counts[k] += 1
+class Words:
+    """What is known of words, by number. A table of over MOST words is begun anew."""
+
+    MOST = 150_000
+
+    def __init__(self, model: bytes):
+        import sentencepiece
+
+        self.vocabulary = sentencepiece.SentencePieceProcessor(model_proto=model)
+        self.size = self.vocabulary.GetPieceSize()
+        self.is_byte = np.array([self.vocabulary.IsByte(i) for i in range(self.size)])
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.facts = np.zeros((0, 4 + len(SCRIPTS)), np.int64)  # tokens, fallen-back bytes, code points, symbols, letters by script
+        self.tokens, self.start = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def learn(self) -> None:
+        """Take in the words numbered since the last call."""
+        new = [w.decode() for w in list(self.number)[len(self.facts) :]]
+        if not new:
+            return
+        cut = self.vocabulary.encode(new, num_threads=1)
+        n = np.fromiter(map(len, cut), np.int64, len(cut))
+        tokens = np.fromiter((x for c in cut for x in c), np.int32, int(n.sum()))
+        byte = np.bincount(np.repeat(np.arange(len(n)), n)[self.is_byte[tokens]], minlength=len(n))
+        chars = np.fromiter(map(len, new), np.int64, len(new))
+        signs = np.fromiter((0 if w.isalnum() else sum(map(w.count, SYMBOLS)) for w in new), np.int64, len(new))
+        letters = np.array([_letters(w) for w in new], np.int64)
+        self.facts = np.concatenate([self.facts, np.concatenate([np.stack([n, byte, chars, signs], axis=1), letters], axis=1)])
+        self.tokens = np.concatenate([self.tokens, tokens])
+        self.start = np.append(self.start, self.start[-1] + np.cumsum(n))
+
+
+def _letters(word: str) -> list[int]:
+    """Letters by script."""
+    counts = [0] * len(SCRIPTS)
+    if max(word) < "\u0250":
+        counts[0] = len(word) if word.isalpha() else sum(map(str.isalpha, word))
         return counts
+    for c in word:
+        if c.isalpha():
+            for k, spans in enumerate(SCRIPTS.values()):
+                if any(a <= ord(c) < b for a, b in spans):
+                    counts[k] += 1
+    return counts
+
+
+def _entropy(words: np.ndarray, doc: np.ndarray, docs: int, known: Words) -> np.ndarray:
+    """Bits a token of each text."""
+    size = known.facts[words, 0]
+    total = int(size.sum())
+    place = np.arange(total) + np.repeat(known.start[words] - (np.cumsum(size) - size), size)
+    keys = np.sort(np.repeat(doc, size) * known.size + known.tokens[place])
+    edge = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if total else np.zeros(0, np.int64)
+    often = np.diff(np.append(edge, total)).astype(np.float64)
+    of = keys[edge] // known.size
+    n = np.bincount(of, often, docs)
+    return np.maximum(0.0, np.log2(np.maximum(n, 1)) - np.bincount(of, often * np.log2(often), docs) / np.maximum(n, 1))
+
+
+def _measure(model: bytes, window: int) -> Callable[[list[str]], list]:
+    known = Words(model)
+    names = [*SCRIPTS, "other"]
 
     def measure(texts: list[str]) -> list:
-        known: dict[bytes, int] = {}
-        coded = [[known.setdefault(w, len(known)) for w in t.encode().split()] for t in texts]
-        start = np.zeros(len(texts) + 1, np.int64)
-        np.cumsum(np.fromiter(map(len, coded), np.int64, len(coded)), out=start[1:])
-        words = np.fromiter((w for c in coded for w in c), np.int64, int(start[-1]))
-        spelled = [w.decode() for w in known]
-        cut = vocabulary.encode(spelled, num_threads=1)
-        n_tokens = np.fromiter(map(len, cut), np.int64, len(cut))
-        at = np.zeros(len(cut) + 1, np.int64)
-        np.cumsum(n_tokens, out=at[1:])
-        tokens = np.fromiter((x for c in cut for x in c), np.int64, int(at[-1]))
-        n_bytes = np.add.reduceat(np.append(is_byte[tokens], False).astype(np.int64), at[:-1]) * (n_tokens > 0) if len(cut) else n_tokens
-        n_chars = np.fromiter(map(len, spelled), np.int64, len(spelled))
-        n_signs = np.fromiter((sum(map(w.count, SYMBOLS)) if not w.isalpha() else 0 for w in spelled), np.int64, len(spelled))
-        letters = np.array([script_counts(w) for w in spelled], np.int64).reshape(-1, len(SCRIPTS))
-        again = repeated(words, start, window)
-        out = []
-        for i, t in enumerate(texts):
-            own = words[start[i] : start[i + 1]]
-            which, often = np.unique(own, return_counts=True)
-            n = int((n_tokens[which] * often).sum())
-            bits = 0.0
-            if n:
-                size = n_tokens[which]
-                place = np.arange(int(size.sum())) + np.repeat(at[which] - (np.cumsum(size) - size), size)
-                order = np.argsort(ids := tokens[place], kind="stable")
-                weight = np.repeat(often, size)[order]
-                edge = np.flatnonzero(np.append(True, ids[order][1:] != ids[order][:-1]))
-                p = np.add.reduceat(weight, edge) / n
-                bits = float(-(p * np.log2(p)).sum()) + 0.0
-            lines, seen, twice = t.split("\n"), set(), 0
-            for x in lines:
-                if x in seen:
-                    twice += 1
-                elif x.encode().strip():
-                    seen.add(x)
-            by = (letters[which] * often[:, None]).sum(axis=0)
-            out.append((len(own), int(n_chars[own].sum()), int(n_signs[own].sum()), twice, int(again[i]), n, int((n_bytes[which] * often).sum()), bits, names[int(by.argmax())] if by.any() else "other"))
-        return [dict(zip(KIND.names, x, strict=True)) for x in out]
+        if len(known.number) > known.MOST:
+            known.clear()
+        number = known.number
+        coded = [[number.setdefault(w, len(number)) for w in t.encode().split()] for t in texts]
+        known.learn()
+        docs = len(texts)
+        start = np.zeros(docs + 1, np.int64)
+        np.cumsum(np.fromiter(map(len, coded), np.int64, docs), out=start[1:])
+        words = np.fromiter(chain.from_iterable(coded), np.int64, int(start[-1]))
+        doc = np.repeat(np.arange(docs), np.diff(start))
+        facts = np.stack([np.bincount(doc, known.facts[words, k], docs) for k in range(known.facts.shape[1])], axis=1).astype(np.int64)
+        again, bits = repeated(words, start, window), _entropy(words, doc, docs, known)
+        letters = facts[:, 4:]
+        script = np.where(letters.any(axis=1), letters.argmax(axis=1), len(SCRIPTS)).tolist()
+        twice = []
+        for t in texts:
+            lines = t.split("\n")
+            twice.append(0 if len(set(lines)) == len(lines) else sum(n - 1 for x, n in Counter(lines).items() if x.encode().strip()))
+        rows = zip(np.diff(start).tolist(), facts[:, 2].tolist(), facts[:, 3].tolist(), twice, again.tolist(), facts[:, 0].tolist(), facts[:, 1].tolist(), bits.tolist(), [names[k] for k in script], strict=True)
+        return [dict(zip(NAMES, x, strict=True)) for x in rows]
 
     return measure
 
 
 def judge(df: DataFrame, model: bytes, rules: Rules = Rules(), text: str = "text", lang: str = "lang", out: str = "quality") -> DataFrame:
     """Add a struct: the counts, the three measures, `base_failed`, `reason` (null if kept) and `kept`."""
+    small_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
     window = rules.window
     work: Callable = lambda: _measure(shared.value, window)
     raw = f"{out}__raw"
+    while raw in df.columns:
+        raw += "_"
     df = put(df, raw, text_udf(work, RETURNS, KIND)(F.col(text)))
     m = lambda n: F.col(f"`{raw}`.{n}")
     codes = [k for k in rules.bands if k not in SCRIPTS and k != "other"]
@@ -190,5 +224,5 @@ def judge(df: DataFrame, model: bytes, rules: Rules = Rules(), text: str = "text
         .when(long_enough & (chars < band["least_chars"]), "few characters per token").when(long_enough & (chars > band["most_chars"]), "many characters per token")
         .when(long_enough & (share > band["most_bytes"]), "bytes").when(long_enough & (m("token_bits") < band["least_bits"]), "low entropy")
     )
-    df = put(df, out, F.struct(*[m(n).alias(n) for n in KIND.names], name.alias("band"), chars.alias("chars_per_token"), share.alias("byte_share"), failed.alias("base_failed"), reason.alias("reason"), reason.isNull().alias("kept")))
+    df = put(df, out, F.struct(*[m(n).alias(n) for n in NAMES], name.alias("band"), chars.alias("chars_per_token"), share.alias("byte_share"), failed.alias("base_failed"), reason.alias("reason"), reason.isNull().alias("kept")))
     return df.drop(raw)
