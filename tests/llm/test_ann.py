@@ -1,0 +1,88 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from satlake.llm import ann
+from satlake.llm.queries import op9_mih
+
+SCHEMA = "vec_id bigint, embedding array<float>"
+
+
+def brute(ids, x, queries, k=5):
+    out = {}
+    for q in queries:
+        s = ann.unit(x) @ ann.unit(x[q : q + 1])[0]
+        s[q] = -9
+        order = np.lexsort((ids, -s))[: min(k, len(ids) - 1)]
+        out[int(ids[q])] = [(int(ids[i]), float(s[i])) for i in order]
+    return out
+
+
+def got(df):
+    out = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        assert r.rank == len(out.setdefault(r.query_id, [])) + 1
+        out[r.query_id].append((r.vec_id, r.score))
+    return out
+
+
+def test_probing_finds_every_code():
+    r = np.random.default_rng(3)
+    codes = r.integers(0, 1 << 63, (3000, 2), dtype=np.uint64)
+    codes[1000:2000] = codes[:1000] ^ (np.uint64(1) << r.integers(0, 63, (1000, 2), dtype=np.uint64))
+    shard = ann.Shard(codes)
+    for i in range(0, 3000, 97):
+        for radius in (0, 1, 7, 20, 55, 128):
+            want = np.flatnonzero(np.bitwise_count(codes ^ codes[i]).sum(axis=1) <= radius)
+            assert (shard.within(codes[i], radius) == want).all()
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_recall(spark, sf):
+    d = f"/root/testdata/{sf}"
+    rows = spark.read.parquet(f"{d}/embeddings.parquet").orderBy("vec_id").collect()
+    ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows])
+    queries = np.flatnonzero(ids % 50 == 0)
+    want, have = brute(ids, x, queries), got(op9_mih(spark, d))
+    assert set(want) == set(have)
+    hits = sum(len({i for i, _ in want[q]} & {i for i, _ in have[q]}) for q in want)
+    assert hits / sum(map(len, want.values())) >= 0.95
+    for q, near in have.items():
+        exact = dict(brute(ids, x, [int(np.flatnonzero(ids == q)[0])], k=len(ids))[q])
+        assert len(near) == 5 and all(s == pytest.approx(exact[i], abs=1e-12) for i, s in near)
+
+
+def test_shards_and_blocks(spark):
+    r = np.random.default_rng(4)
+    x = r.normal(size=(600, 20))
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(600)], SCHEMA)
+    exact = brute(np.arange(600), x.astype(np.float32), range(0, 600, 10))
+    have = got(ann.search(df, F.col("vec_id") % 10 == 0, p=ann.Index(shard=100, block=13, reach=1.0)))
+    hits = sum(len({i for i, _ in exact[q]} & {i for i, _ in have[q]}) for q in exact)
+    assert set(have) == set(exact) and hits >= 0.97 * 5 * len(exact)
+
+
+def test_odd_vectors(spark):
+    good = [(i, [float(i % 7) - 3, float(i % 5) - 2, 1.0]) for i in range(1, 41)]
+    odd = [(50, None), (51, []), (52, [0.0, 0.0, 0.0]), (53, [1.0, None, 2.0]), (54, [float("nan"), 1.0, 1.0]), (55, [float("inf"), 1.0, 1.0]), (56, [1.0, 2.0]), (None, [1.0, 1.0, 1.0]), (10, good[9][1]), (10, good[9][1])]
+    df = spark.createDataFrame(good + odd, SCHEMA).withColumns({c: F.lit(1) for c in ("i", "v", "q", "c", "shard", "block", "score", "rank")})
+    have = got(ann.search(df, F.col("vec_id") % 10 == 0))
+    assert set(have) == {10, 20, 30, 40}
+    ids, x = np.array([i for i, _ in good]), np.array([v for _, v in good])
+    want = brute(ids, x, [9, 19, 29, 39])
+    for q in have:
+        assert [s for _, s in have[q]] == pytest.approx([s for _, s in want[q]])
+        assert q not in [i for i, _ in have[q]]
+
+
+def test_few(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [-1.0, 0.0])], SCHEMA)
+    assert [i for i, _ in got(ann.search(df, F.col("vec_id") == 0))[0]] == [1, 2]
+    assert ann.search(df.where("vec_id = 0"), F.col("vec_id") == 0).collect() == []
+    assert ann.search(df.limit(0), F.col("vec_id") == 0).collect() == []
+    assert ann.search(df, F.lit(False)).collect() == []
+
+
+def test_ties_go_to_the_smaller_id(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0])] + [(i, [2.0, 2.0]) for i in (9, 3, 7, 5, 8, 4)], SCHEMA)
+    assert [i for i, _ in got(ann.search(df, F.col("vec_id") == 0))[0]] == [3, 4, 5, 7, 8]
