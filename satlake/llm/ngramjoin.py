@@ -35,6 +35,9 @@ from pyspark.sql import functions as F
 from satlake.llm.common import components, reliable, small_batches, texts_of
 
 
+SALTS = 32
+
+
 @dataclass(frozen=True)
 class Join:
     words: int = 5
@@ -224,24 +227,26 @@ def classes(df: DataFrame, p: Join = Join()) -> DataFrame:
     width = math.log(p.den / p.num) * 1.0001
     held = held.withColumn("n", F.arrow_udf(count, "long")(F.col("text"))).withColumn("cls", F.floor(F.log(F.col("n").cast("double")) / width).cast("int"))
     held = reliable(held)
-    whole = held.groupBy("comp").agg(F.count("*").alias("all")).withColumnRenamed("comp", "c0")
-    parts = held.groupBy("comp", "cls").agg(F.ceil(F.count("*") / p.block).cast("int").alias("blocks"))
-    of = lambda name, shift: parts.select(F.col("comp").alias(f"c_{name}"), (F.col("cls") + shift).alias(f"k_{name}"), F.col("blocks").alias(name))
-    dealt = held.join(whole, F.col("comp") == F.col("c0"))
-    small = dealt.where(F.col("all") <= p.block).select("comp", F.lit(0).alias("k1"), F.lit(0).alias("b1"), F.lit(0).alias("k2"), F.lit(0).alias("b2"), F.lit(-1).alias("side"), "node", "md5", "copies", "text")
-    large = dealt.where(F.col("all") > p.block)
-    for name, shift in (("mine", 0), ("above", -1), ("below", 1)):
-        large = large.join(of(name, shift), (F.col("comp") == F.col(f"c_{name}")) & (F.col("cls") == F.col(f"k_{name}")), "left")
-    large = large.withColumn("sub", F.pmod(F.xxhash64("md5"), F.col("mine")).cast("int"))
-    cls, sub = F.col("cls"), F.col("sub")
+    # groups of over one block, each once for every salt, so that such a group's texts aren't dealt to one task by its number
+    salt = lambda df: df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    big = held.groupBy("comp").agg(F.count("*").alias("all")).where(F.col("all") > p.block)
+    parts = held.groupBy("comp", "cls").agg(F.ceil(F.count("*") / p.block).cast("int").alias("blocks")).join(big.select("comp"), "comp", "left_semi")
+    per = parts.groupBy("comp").agg(F.map_from_entries(F.collect_list(F.struct("cls", "blocks"))).alias("blocks"))  # a length class spans a quarter, so they are few
+    per = salt(per).withColumnsRenamed({"comp": "c0", "salt": "s0"})
+    dealt = held.withColumn("salt", F.pmod(F.xxhash64("md5"), F.lit(SALTS)).cast("int")).join(per, (F.col("comp") == F.col("c0")) & (F.col("salt") == F.col("s0")), "left")
+    cls = F.col("cls")
+    upto = lambda k: F.sequence(F.lit(0), F.try_element_at("blocks", k) - 1)
+    sub = F.pmod(F.xxhash64("md5", F.lit(1)), F.try_element_at("blocks", cls)).cast("int")
     unit = lambda k1, b1, k2, b2, side: F.struct(k1.alias("k1"), b1.alias("b1"), k2.alias("k2"), b2.alias("b2"), side.alias("side"))
-    upto = lambda name: F.when(F.coalesce(F.col(name), F.lit(0)) > 0, F.sequence(F.lit(0), F.col(name) - 1)).otherwise(F.array().cast("array<int>"))
-    within = F.transform(upto("mine"), lambda s: unit(cls, F.least(s, sub), cls, F.greatest(s, sub), F.when(s == sub, -1).when(s > sub, 0).otherwise(1)))
-    up = F.transform(upto("above"), lambda s: unit(cls, sub, cls + 1, s, F.lit(0)))
-    down = F.transform(upto("below"), lambda s: unit(cls - 1, s, cls, sub, F.lit(1)))
-    large = large.select("comp", "node", "md5", "copies", "text", F.explode(F.concat(within, up, down)).alias("u")).select("comp", "u.*", "node", "md5", "copies", "text")
+    none = F.array().cast("array<struct<k1:int,b1:int,k2:int,b2:int,side:int>>")
+    within = F.transform(upto(cls), lambda s: unit(cls, F.least(s, sub), cls, F.greatest(s, sub), F.when(s == sub, -1).when(s > sub, 0).otherwise(1)))
+    up = F.coalesce(F.transform(upto(cls + 1), lambda s: unit(cls, sub, cls + 1, s, F.lit(0))), none)
+    down = F.coalesce(F.transform(upto(cls - 1), lambda s: unit(cls - 1, s, cls, sub, F.lit(1))), none)
+    zero = F.lit(0)
+    where = F.when(F.col("blocks").isNull(), F.array(unit(zero, zero, zero, zero, F.lit(-1)))).otherwise(F.concat(within, up, down))
+    units = dealt.select("comp", "node", "md5", "copies", "text", F.explode(where).alias("u")).select("comp", "u.*", "node", "md5", "copies", "text")
     shape = ("comp", "k1", "b1", "k2", "b2")
-    units = small.unionByName(large).groupBy(*shape).applyInArrow(_units(p), "md5 string, node long, root long, links long, others long")
+    units = units.groupBy(*shape).applyInArrow(_units(p), "md5 string, node long, root long, links long, others long")
     units = reliable(units)
     found = units.groupBy("md5", "node").agg(F.sum("links").alias("links"), F.sum("others").alias("others"))
     roots = components(units.select(F.col("node").alias("u"), F.col("root").alias("v"))).withColumnsRenamed({"node": "n", "root": "r"})
@@ -263,11 +268,14 @@ def near_duplicates(df: DataFrame, p: Join = Join(), id: str = "doc_id", text: s
 
 
 def keep_one(df: DataFrame, p: Join = Join(), id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of df that stay: of each group the one of the least id (rows of that id: the least text, and one of them); texts without words all stay."""
-    found = near_duplicates(df, p, id, text)
-    own = F.col(f"row.`{id}`").cast("long")
-    first = found.where(own.eqNullSafe(F.col("group")) | F.col("group").isNull())
-    worded = F.coalesce(F.col(f"row.`{text}`"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    alone = first.where(~worded).select("row.*")
-    one = first.where(worded).groupBy("group").agg(F.min_by("row", F.struct(F.col(f"row.`{text}`"))).alias("row")).select("row.*")
-    return one.unionByName(alone)
+    """The rows of df that stay: of each group the one of the least id (rows of that id: the text of least MD5, and one of them); texts without
+    words all stay. Rows are looked up by id and text at once, which is not hot however many copies there are."""
+    plain = F.coalesce(F.col(text), F.lit(""))
+    worded = plain.rlike(r"[^\x20\x09-\x0D]")
+    found = classes(df.where(worded).select(F.col(id).cast("long").alias("doc_id"), plain.alias("text")), p)
+    first = found.where(F.col("class").eqNullSafe(F.col("group"))).groupBy("group").agg(F.min("md5").alias("m"))
+    rows = df.where(worded).select(F.struct("*").alias("row"), F.col(id).cast("long").alias("own"), F.md5(plain.cast("binary")).alias("key"))
+    named = found.where(F.col("group").isNull()).select(F.col("class").alias("group"), F.col("md5").alias("m"))  # classes whose documents have no id
+    kept = rows.join(first.where("group is not null").unionByName(named), F.col("own").eqNullSafe(F.col("group")) & (F.col("key") == F.col("m")))
+    one = kept.groupBy("group", "m").agg(F.first("row").alias("row"))
+    return one.select("row.*").unionByName(df.where(~worded))
