@@ -164,3 +164,17 @@ def verify_report(marked: DataFrame, history: DataFrame, balances_: DataFrame, u
     for r in rows[1:]:
         out = out.unionByName(r)
     return out
+
+
+def duplicate_keys(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """Keys that occur more than once, with their number: empty where the key is one."""
+    return df.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
+
+
+def require_key(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """df, after a check that it has those columns and no key twice."""
+    if missing := [k for k in key if k not in df.columns]:
+        raise ValueError(f"no key column {', '.join(missing)}")
+    if found := duplicate_keys(df, key).head(1):
+        raise ValueError(f"key {key} occurs {found[0].n} times: {found[0]}")
+    return df

@@ -453,3 +453,16 @@ def safe_tip_batches(g: Ledger) -> DataFrame:
 @query(sql("SELECT block_height // 1000 AS bucket, count(*) AS n_outputs, CAST(sum(value_sats) AS BIGINT) AS value_sats FROM outputs GROUP BY 1".replace("block_height // 1000", "CAST(block_height // 1000 AS INTEGER)"), "outputs"))
 def bucket_totals(g: Ledger) -> DataFrame:
     return derive.with_bucket(g.outputs, WIDTH).groupBy(F.col("height_bucket").alias("bucket")).agg(F.count("*").alias("n_outputs"), F.sum("value_sats").alias("value_sats"))
+
+
+@query("SELECT l_orderkey AS txid, l_linenumber AS line, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
+def duplicate_keys(g: Ledger) -> DataFrame:
+    """Line numbers are no key of line items; the ledger numbers outputs anew."""
+    return derive.duplicate_keys(g.table("lineitem").select(F.col("l_orderkey").alias("txid"), F.col("l_linenumber").alias("line")), ("txid", "line"))
+
+
+@query(sql("SELECT address, count(*) AS n_rows, count(*) FILTER (role = 1) AS n_sent, CAST(sum(net_value_sats) AS BIGINT) AS net_sats FROM history GROUP BY 1", "history"))
+def history_totals(g: Ledger) -> DataFrame:
+    """An invariant's two sides: net sums of history are balances."""
+    h = derive.require_key(g.history, derive.HISTORY_KEY)
+    return h.groupBy("address").agg(F.count("*").alias("n_rows"), F.count_if(F.col("role") == X.SENDER).alias("n_sent"), F.sum("net_value_sats").alias("net_sats"))

@@ -116,3 +116,12 @@ def test_height_between(spark):
     assert rows(got, "block_height") == [(h,) for h in range(900, 2101, 100)]
     with pytest.raises(AssertionError):
         assert rows(got, "block_height") == []
+
+
+def test_require_key(spark):
+    df = spark.createDataFrame([(1, 2), (1, 3), (1, 3)], "a int, b int")
+    assert derive.require_key(df.distinct(), ("a", "b")).count() == 2
+    with pytest.raises(ValueError, match="occurs 2 times"):
+        derive.require_key(df, ("a", "b"))
+    with pytest.raises(ValueError, match="no key column role"):
+        derive.require_key(df, ("a", "role"))
