@@ -26,10 +26,13 @@ def with_bucket(df: DataFrame, width: int = BUCKET) -> DataFrame:
 
 
 def spends(inputs: DataFrame) -> DataFrame:
-    """One row for each spent outpoint: prev_txid, prev_vout, spending_txid, spending_vin, spent_height. Of several spends the first counts."""
+    """One row for each spent outpoint: prev_txid, prev_vout, spending_txid, spending_vin, spent_height. Of several spends the first counts.
+
+    By a window rather than a minimum of structs: that would sort before the shuffle too, and this sort serves a join on the outpoint next."""
     real = inputs.where(F.col("prev_txid").isNotNull() & F.col("prev_vout").isNotNull())
-    first = F.min(F.struct("block_height", "txid", "vin_idx")).alias("s")
-    return real.groupBy("prev_txid", "prev_vout").agg(first).select("prev_txid", "prev_vout", F.col("s.txid").alias("spending_txid"), F.col("s.vin_idx").alias("spending_vin"), F.col("s.block_height").alias("spent_height"))
+    before = F.lag(F.lit(1)).over(Window.partitionBy("prev_txid", "prev_vout").orderBy("block_height", "txid", "vin_idx"))
+    named = real.select("prev_txid", "prev_vout", F.col("txid").alias("spending_txid"), F.col("vin_idx").alias("spending_vin"), F.col("block_height").alias("spent_height"), before.alias("before"))
+    return named.where("before is null").drop("before")
 
 
 def outputs_with_spend(outputs: DataFrame, spent: DataFrame) -> DataFrame:
@@ -99,21 +102,26 @@ def sum_history(rows: DataFrame) -> DataFrame:
 
 
 def deltas(marked: DataFrame) -> DataFrame:
-    """Credits and debits by address from outputs with spend state: address, txid, block_height, delta. One scan gives both."""
-    credit = F.struct("txid", F.col("block_height").alias("block_height"), F.col("value_sats").alias("delta"))
-    debit = F.struct(F.col("spending_txid").alias("txid"), F.col("spent_height").alias("block_height"), (-F.col("value_sats")).alias("delta"))
+    """Credits and debits by address from outputs with spend state: address, txid, block_height, delta, and `open`, 1 for the credit of an
+    unspent output and else 0. One scan gives both."""
+    credit = F.struct("txid", F.col("block_height").alias("block_height"), F.col("value_sats").alias("delta"), (~F.col("is_spent")).cast("int").alias("open"))
+    debit = F.struct(F.col("spending_txid").alias("txid"), F.col("spent_height").alias("block_height"), (-F.col("value_sats")).alias("delta"), F.lit(0).alias("open"))
     held = marked.where(F.col("address").isNotNull())
     return held.select("address", F.explode(F.when(F.col("is_spent"), F.array(credit, debit)).otherwise(F.array(credit))).alias("d")).select("address", "d.*")
 
 
 def balances(moves: DataFrame, counts: DataFrame | None = None) -> DataFrame:
-    """Balances from credits and debits. The transactions of an address are counted by two sums: rows of (address, txid) first, so a hot address is no hot task."""
+    """Balances from credits and debits. The transactions of an address are counted by two sums: rows of (address, txid) first, so a hot address is no hot task.
+    utxo_count comes from `counts`, or else from `open` if moves have it, or is left out."""
+    opened = counts is None and "open" in moves.columns
+    first = [F.sum("open").alias("open")] if opened else []
     pairs = moves.groupBy("address", "txid").agg(
-        F.sum("delta").alias("delta"), F.sum(positive(F.col("delta"))).alias("received"), F.sum(negative(F.col("delta"))).alias("sent"), F.min("block_height").alias("first"), F.max("block_height").alias("last")
+        F.sum("delta").alias("delta"), F.sum(positive(F.col("delta"))).alias("received"), F.sum(negative(F.col("delta"))).alias("sent"), F.min("block_height").alias("first"), F.max("block_height").alias("last"), *first
     )
     out = pairs.groupBy("address").agg(
-        F.sum("delta").alias("balance_sats"), F.sum("received").alias("total_received_sats"), F.sum("sent").alias("total_sent_sats"), F.count("*").alias("tx_count"), F.min("first").alias("first_seen_height"), F.max("last").alias("last_seen_height")
-    )
+        F.sum("delta").alias("balance_sats"), F.sum("received").alias("total_received_sats"), F.sum("sent").alias("total_sent_sats"), F.count("*").alias("tx_count"), F.min("first").alias("first_seen_height"), F.max("last").alias("last_seen_height"),
+        *([F.sum("open").alias("utxo_count")] if opened else []),
+    )
     return out if counts is None else with_counts(out, counts)
 
 
@@ -123,10 +131,8 @@ def with_counts(balances_: DataFrame, counts: DataFrame) -> DataFrame:
 
 
 def balances_of(outputs: DataFrame, inputs: DataFrame) -> DataFrame:
-    """Facts to balances, unspent counts included, with one join: an address's unspent outputs are those marked as not spent."""
-    marked = outputs_with_spend(outputs.select("txid", "vout_idx", "block_height", "address", "value_sats"), spends(inputs))
-    unspent = marked.where(F.col("address").isNotNull() & ~F.col("is_spent"))
-    return balances(deltas(marked), utxo_counts(unspent))
+    """Facts to balances, unspent counts included, with one join and two sums."""
+    return balances(deltas(outputs_with_spend(outputs.select("txid", "vout_idx", "block_height", "address", "value_sats"), spends(inputs))))
 
 
 def height_deltas(moves: DataFrame) -> DataFrame:

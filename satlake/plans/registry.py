@@ -377,7 +377,7 @@ def partition_scan(g: Ledger) -> DataFrame:
 
 @query(sql("SELECT * FROM sums WHERE address LIKE 'addr1%'", "sums"))
 def address_prefix(g: Ledger) -> DataFrame:
-    return derive.balances(derive.deltas(g.marked.where(F.col("address").startswith("addr1"))))
+    return derive.balances(derive.deltas(g.marked.where(F.col("address").startswith("addr1")))).drop("utxo_count")
 
 
 @query(sql(f"SELECT {BALANCE} FROM balances WHERE address IN (SELECT min(address) FROM outputs)", "balances", "outputs"))
