@@ -39,7 +39,7 @@ def _cut(df: DataFrame) -> DataFrame:
 def descendants(spent: DataFrame, txids: DataFrame, depth: int = 10) -> DataFrame:
     """txid, depth: all transactions reached in up to `depth` steps, each at its least depth. Breadth first; what has been seen is left out of
     the next step, so paths that meet again don't multiply."""
-    e = edges(spent)
+    e = _cut(edges(spent))  # every step reads it
     seen = _cut(txids.select("txid").distinct().select("txid", F.lit(0).alias("depth")))
     last = seen
     for d in range(1, depth + 1):
