@@ -244,12 +244,15 @@ def tx_outputs_view(g: Ledger) -> DataFrame:
 
 @query(
     sql(
-        f"SELECT t.*, b.hash AS block_hash, b.block_time, (SELECT list({{'vin_idx': vin_idx, 'prev_txid': prev_txid, 'prev_vout': prev_vout, 'sequence_no': sequence_no, 'value_sats': coalesce(value_sats, 0), 'address': address}} ORDER BY vin_idx) FROM inputs i LEFT JOIN outputs o ON o.txid = prev_txid AND o.vout_idx = prev_vout WHERE i.txid IN (SELECT txid FROM top_tx)) AS inputs, (SELECT list({{'vout_idx': vout_idx, 'value_sats': value_sats, 'address': address, 'script_type': {_SCRIPT}, 'is_spent': is_spent, 'spending_txid': spending_txid}} ORDER BY vout_idx) FROM marked WHERE txid IN (SELECT txid FROM top_tx)) AS outputs FROM transactions t JOIN blocks b ON b.height = t.block_height WHERE t.txid IN (SELECT txid FROM top_tx)",
+        f"SELECT t.*, b.hash AS block_hash, b.block_time, (SELECT CAST(to_json(list({{'vin_idx': vin_idx, 'prev_txid': prev_txid, 'prev_vout': prev_vout, 'sequence_no': sequence_no, 'value_sats': coalesce(value_sats, 0), 'address': address}} ORDER BY vin_idx)) AS VARCHAR) FROM inputs i LEFT JOIN outputs o ON o.txid = prev_txid AND o.vout_idx = prev_vout WHERE i.txid IN (SELECT txid FROM top_tx)) AS inputs, (SELECT CAST(to_json(list({{'vout_idx': vout_idx, 'value_sats': value_sats, 'address': address, 'script_type': {_SCRIPT}, 'is_spent': is_spent, 'spending_txid': spending_txid}} ORDER BY vout_idx)) AS VARCHAR) FROM marked WHERE txid IN (SELECT txid FROM top_tx)) AS outputs FROM transactions t JOIN blocks b ON b.height = t.block_height WHERE t.txid IN (SELECT txid FROM top_tx)",
         "transactions", "blocks", "top_tx", "inputs", "marked",
     )
 )
 def tx_full(g: Ledger) -> DataFrame:
-    return api.transaction(g.transactions, g.blocks, g.inputs, g.outputs, g.marked, top_tx(g))
+    """Header, inputs and outputs of one transaction, the lists as JSON."""
+    text = lambda c: F.to_json(c, {"ignoreNullFields": "false"}).alias(c)
+    full = api.transaction(g.transactions, g.blocks, g.inputs, g.outputs, g.marked, top_tx(g))
+    return full.select(*[text(c) if c in ("inputs", "outputs") else c for c in full.columns])
 
 
 @query(sql("SELECT DISTINCT spending_txid AS txid FROM spends WHERE prev_txid IN (SELECT txid FROM outputs GROUP BY 1 HAVING count(*) >= 7)", "spends", "outputs"))
