@@ -80,13 +80,15 @@ def test_scripts(spark):
 
 def test_no_language_column(spark):
     r = quality.judge(spark.createDataFrame([("plain words " * 12,)], "text string"), MODEL).first()
-    assert r.quality.band == "latin"
+    assert r.quality.band == "latin" and r.quality.reason == "repeats"
 
 
 def test_clean_stay_and_noise_goes(spark, sf):
-    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id")
+    df = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id")
     clean = quality.judge(df.where("quality = 1").withColumnRenamed("quality", "label"), MODEL).where("not quality.base_failed").collect()
     assert len(clean) > 100 and all(r.quality.kept for r in clean)
+    dirty = quality.judge(df.where("quality = 0").withColumnRenamed("quality", "label"), MODEL).where("not quality.base_failed").collect()
+    assert sum(not r.quality.kept for r in dirty) > 0.25 * len(dirty)
     noise = "".join(chr(0x4E00 + (i * 7919) % 20000) + ("" if i % 9 else " ") for i in range(3000))
     rows = [("en", noise), ("en", "q#x$w%z^ " * 3 + " ".join(f"@{i}~`{i * 37}§¶" for i in range(200))), ("en", " ".join("ab" for _ in range(200)))]
     assert not any(r.quality.kept for r in quality.judge(spark.createDataFrame(rows, "lang string, text string"), MODEL).collect())
