@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from satlake.llm.common import reliable
+
 parser = re._parser  # the standard library's own parser of regular expressions
 
 #: A class of more characters, or a set of more strings, is left open in queries.
@@ -29,18 +31,24 @@ MANY = 24
 
 @dataclass(frozen=True)
 class Rule:
-    """kind; pattern (Java and RE2 read it alike); the group whose length counts, and the least length of it."""
+    """kind; pattern (Java and RE2 read it alike); the group whose length counts, and the least length of it. `search`: a pattern with just the
+    matches of `pattern` that are long enough, where there is one; it is what texts are searched with."""
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 1
+    search: str = ""
+
+    @property
+    def sought(self) -> str:
+        return self.search or self.pattern
 
 
 RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", r"[0-9a-f]+", 0, 24),
+    Rule("access", r"AKIA[A-Z0-9]+", 0, 20, r"AKIA[A-Z0-9]{16,}"),
+    Rule("hex", r"[0-9a-f]+", 0, 24, r"[0-9a-f]{24,}"),
     Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("forge", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
@@ -121,12 +129,11 @@ def trigram_query(pattern: str) -> Query:
 
 def _spans(text: Column, rule: Rule) -> Column:
     """array<struct<start, kind, end>> of one rule. The text is cut at the matches, and lengths are summed up."""
-    p = F.lit(rule.pattern)
+    p = F.lit(rule.sought)
     whole = F.regexp_extract_all(text, p, F.lit(0))
     counted = F.regexp_extract_all(text, p, F.lit(rule.group)) if rule.group else whole
-    gaps = F.split(text, rule.pattern, -1)
+    gaps = F.split(text, rule.sought, -1)
     sizes = F.zip_with(F.zip_with(gaps, whole, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size"))), counted, lambda s, c: F.struct(s["gap"].alias("gap"), s["size"].alias("size"), F.length(c).alias("n")))
-    none = F.lit(None).cast("array<struct<start:int,kind:string,end:int>>")
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:string,end:int>>").alias("found"))
 
     def step(acc: Column, s: Column) -> Column:
@@ -135,16 +142,19 @@ def _spans(text: Column, rule: Rule) -> Column:
         return F.struct(end.alias("at"), F.when(hit, F.array_append(acc["found"], F.struct(begin.alias("start"), F.lit(rule.kind).alias("kind"), end.alias("end")))).otherwise(acc["found"]).alias("found"))
 
     none = F.array().cast("array<struct<start:int,kind:string,end:int>>")
-    return F.when(text.rlike(rule.pattern), F.aggregate(sizes, start, step, lambda a: a["found"])).otherwise(none)
+    return F.when(text.rlike(rule.sought), F.aggregate(sizes, start, step, lambda a: a["found"])).otherwise(none)
 
 
 def candidates(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """(text_md5, rules array<int>): for each text that some branch needs searched, the numbers of its rules."""
     branches = [(i, b) for i, r in enumerate(rules) for b in sorted(trigram_query(r.pattern), key=sorted) if b]
     grams = sorted({g for _, b in branches for g in b})
-    low = F.lower(F.col(text))
-    held = F.filter(F.array(*[F.when(low.contains(g), F.lit(k)) for k, g in enumerate(grams)]), lambda x: x.isNotNull())
-    postings = df.where(F.col(text).isNotNull()).select(F.md5(F.col(text).cast("binary")).alias("text_md5"), F.explode(held).alias("gram"))
+    # all places of all trigrams in one pass, overlaps too: a look-ahead at each place, first characters told apart first
+    tails = {c: "|".join(re.escape(g[1:]) for g in grams if g[0] == c) for c in sorted({g[0] for g in grams})}
+    anywhere = "(?=(" + "|".join(f"{re.escape(c)}(?:{t})" for c, t in tails.items()) + "))"
+    held = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(anywhere), F.lit(1)))
+    place = F.create_map(*[x for k, g in enumerate(grams) for x in (F.lit(g), F.lit(k))])
+    postings = df.where(F.col(text).isNotNull()).select(F.md5(F.col(text).cast("binary")).alias("text_md5"), F.explode(held).alias("g")).select("text_md5", F.element_at(place, F.col("g")).alias("gram"))
     # the branches are few and fixed by the rules: one gram's branches as an array
     of = F.array(*[F.array(*[F.lit(k) for k, (_, b) in enumerate(branches) if g in b]) for g in grams])
     wanted = F.array(*[F.lit(len(b)) for _, b in branches])
@@ -162,7 +172,8 @@ def scan(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", out
     row, key, found = "__row", "__key", "__rules"
     base = df.select(F.struct("*").alias(row))
     plain = F.coalesce(F.col(f"{row}.`{text}`"), F.lit(""))
-    index = candidates(df, rules, text).select(F.col("text_md5").alias("__md5"), F.col("rules").alias(found))
+    # written first: both sides of the join are then plain exchanges, and a text that a third of all rows have can be split
+    index = reliable(candidates(df, rules, text)).select(F.col("text_md5").alias("__md5"), F.col("rules").alias(found))
     full = [i for i, r in enumerate(rules) if trigram_query(r.pattern) == ALWAYS]
     asked = base.withColumn(key, F.md5(plain.cast("binary"))).join(index, F.col(key) == F.col("__md5"), "left")
     none = F.array().cast("array<struct<start:int,kind:string,end:int>>")
