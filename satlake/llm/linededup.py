@@ -132,6 +132,7 @@ def runs(df: DataFrame, p: Winnow = Winnow()) -> DataFrame:
     found = reliable(places(df, p))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "first")
     first = found.groupBy("gram").agg(F.min_by(F.struct("before", "own", "after", order.alias("at")), order).alias("a"), F.count("*").alias("n")).where("n > 1").select(F.col("gram").alias("g"), "a")
+    first = reliable(first)  # both sides of the join are then plain exchanges, and a fingerprint that a third of all rows have can be split
     pairs = found.join(first, F.col("gram") == F.col("g")).where((order != F.col("a.at")) & (F.col("own") == F.col("a.own")))
     left, right = _alike(F.col("before"), F.col("a.before")), _alike(F.col("after"), F.col("a.after"))
     total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
