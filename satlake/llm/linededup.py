@@ -1,16 +1,19 @@
 """Line dedup by winnowing (Schleimer, Wilkerson and Aiken, 2003) over hashes of lines.
 
-Only lines that hold a word count; words are what lies between ASCII white space. A gram is the least run of lines from a line on that has GRAM
-words; its fingerprint is the hash of its lines. A window holds the grams of the least run of lines that has RUN words, and the last
-gram of least hash in it is selected. So whatever lies around it, a run of RUN words that occurs in two places has the same selected gram in both.
+Only lines that hold a word count; words are what lies between ASCII white space. A run of lines that has RUN words or more and also stands
+earlier (in a document before, by id and then by hash of the text, or higher up in its own) is deleted, blank lines between its lines too. The
+first of equal lines always stays, as a line goes only if an equal one comes earlier.
 
-Each selected gram is matched with the first place of its fingerprint: by document id, hash of the text, then line. The match is extended
-line by line both ways, and if it then has RUN words, its lines in the later place are deleted, blank lines between them
-too. A line is deleted only if an equal one comes earlier, so the first of equal lines always stays.
+1. A gram is the least run of lines from a line on that has GRAM words; its fingerprint is the hash of its lines. A window is the least run of
+   lines, from a line on or back from one, that has RUN words. Of the grams in a window from a line on, the last of least hash is selected, whatever lies
+   around it; so two places of one window have the same selected fingerprint.
+2. Places are joined on fingerprints: only where one occurs twice can a window repeat.
+3. There, the windows that hold the gram are looked up by their own hashes. A window that isn't the first of its hash is a later repeat. A repeated run is
+   covered by its windows, those from its lines on and those back from them, so their union is the match extended both ways as far as it goes,
+   whichever earlier documents its parts stand in.
 
-A place carries the hashes of its lines and of those around it up to RUN words either way: further off, a run has another selected
-gram. So a match is extended without fetching either document, a fingerprint that a third of all documents hold meets in one
-sum (its first place), and no pairs of documents arise.
+A fingerprint or a window that a third of all documents hold meets in sums (how often, its first place) and in joins whose other side has
+one row a hash; no pairs of documents arise.
 
 Null text: empty, no lines deleted. Rows of equal id and text are one document and get one result. Null id: after all others.
 """
@@ -21,7 +24,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from satlake.llm.common import reliable, small_batches
@@ -43,102 +46,94 @@ def worded(text: str) -> tuple[list[str], list[int], list[int]]:
     return lines, at, [counts[i] for i in at]
 
 
-def grams(hashes: list[int], words: list[int], p: Winnow) -> list[tuple[int, int, int]]:
-    """The selected (fingerprint, first line, end) of one document's worded lines."""
-    n = len(hashes)
-    ends: list[int] = []  # of the gram from each line on; 0: it has too few words
-    fp: list[int] = []
-    end = total = 0
-    for i in range(n):
-        while end < n and total < p.gram:
+def least_runs(words: list[int], most: int) -> list[int]:
+    """For each line the end of the least run of lines from it on that has `most` words; 0 if too few words follow."""
+    out, end, total = [], 0, 0
+    for n in words:
+        while end < len(words) and total < most:
             total += words[end]
             end += 1
-        ends.append(end if total >= p.gram else 0)
-        x = hashes[i]
-        for j in range(i + 1, ends[i]):
-            x = ((x ^ (x >> 29)) * 0xBF58476D1CE4E5B9 + hashes[j]) & _MASK
-        fp.append(x)
-        total -= words[i]
-    out, chosen = [], -1
-    end = total = 0
+        out.append(end if total >= most else 0)
+        total -= n
+    return out
+
+
+def windows(digests: list[bytes], words: list[int], p: Winnow) -> dict[int, tuple[int, list[tuple[int, int]]]]:
+    """By selected gram's first line: (its fingerprint, the windows that are looked up through it, as (first line, end))."""
+    import xxhash
+
+    n = len(words)
+    ends, on = least_runs(words, p.gram), least_runs(words, p.run)
+    back = [n - e for e in least_runs(words[::-1], p.run)[::-1]]  # first line of the window back from each line; n: none
+    prints = [xxhash.xxh3_64_intdigest(b"".join(digests[i:e])) if e else 0 for i, e in enumerate(ends)]
+    chosen: list[int] = []
+    held: list[int] = []  # starts of grams that may be selected yet, their prints growing: a sliding minimum
+    at = 0
     for i in range(n):
-        while end < n and total < p.run:
-            total += words[end]
-            end += 1
-        if total < p.run:
+        if not on[i]:
             break
-        best = -1
-        for g in range(i, end):
-            if not ends[g] or ends[g] > end:
-                break
-            if best < 0 or fp[g] <= fp[best]:
-                best = g
-        if best > chosen:
-            chosen = best
-            out.append((fp[best], best, ends[best]))
-        total -= words[i]
+        while at < n and ends[at] and ends[at] <= on[i]:
+            while held and prints[held[-1]] >= prints[at]:
+                held.pop()
+            held.append(at)
+            at += 1
+        while held[0] < i:
+            held.pop(0)
+        chosen.append(held[0])
+    out: dict[int, tuple[int, list[tuple[int, int]]]] = {}
+    for i, g in enumerate(chosen):
+        out.setdefault(g, (prints[g], []))[1].append((i, on[i]))
+    for j, i in enumerate(back):
+        if i < n and on[i] != j + 1:
+            out[chosen[i]][1].append((i, j + 1))
     return out
 
 
-PLACE = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("gram", pa.int64()), ("first", pa.int32()), ("end", pa.int32()), ("before", pa.list_(pa.int64())), ("own", pa.list_(pa.int64())), ("after", pa.list_(pa.int64())), ("before_words", pa.list_(pa.int32())), ("own_words", pa.int32()), ("after_words", pa.list_(pa.int32()))])
+WINDOW = pa.struct([("h1", pa.int64()), ("h2", pa.int64()), ("first", pa.int32()), ("end", pa.int32())])
+PLACE = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("gram", pa.int64()), ("windows", pa.list_(WINDOW))])
 
 
 def places(df: DataFrame, p: Winnow) -> DataFrame:
-    """df: doc_id, text_hash, text. A row for each selected gram, with the lines around it, nearest first."""
+    """df: doc_id, text_hash, text. A row for each selected gram, with its windows and their hashes of 128 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         signed = lambda x: x - (1 << 64) if x >> 63 else x
+        batch = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), PLACE, strict=True)], schema=PLACE)
         for b in batches:
             rows: list[tuple] = []
             for id, key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
                 lines, at, words = worded(text.as_py() or "")
                 if sum(words) < p.run:
                     continue
-                raw = [lines[i].encode() for i in at]
-                hashes = [xxhash.xxh3_64_intdigest(x) for x in raw]
-                check = None
-                for g, first, end in grams(hashes, words, p):
-                    check = check or [signed(xxhash.xxh3_64_intdigest(x, 1)) for x in raw]
-                    low, n = first, 0
-                    while low > 0 and n < p.run:
-                        low -= 1
-                        n += words[low]
-                    high, n = end, 0
-                    while high < len(at) and n < p.run:
-                        n += words[high]
-                        high += 1
-                    rows.append((id, key, signed(g), first, end, check[low:first][::-1], check[first:end], check[end:high], words[low:first][::-1], sum(words[first:end]), words[end:high]))
+                digests = [xxhash.xxh3_128_digest(lines[i].encode()) for i in at]
+                for g, found in windows(digests, words, p).values():
+                    own = []
+                    for first, end in found:
+                        h = xxhash.xxh3_128_intdigest(b"".join(digests[first:end]))
+                        own.append((signed(h >> 64), signed(h & _MASK), first, end))
+                    rows.append((id, key, signed(g), [dict(zip(("h1", "h2", "first", "end"), w, strict=True)) for w in own]))
                     if len(rows) == 4096:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), PLACE, strict=True)], schema=PLACE)
+                        yield batch(rows)
                         rows = []
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), PLACE, strict=True)], schema=PLACE)
-
-    kinds = "doc_id long, text_hash long, gram long, first int, end int, before array<long>, own array<long>, after array<long>, before_words array<int>, own_words int, after_words array<int>"
-    return df.mapInArrow(run, kinds)
+                yield batch(rows)
 
-
-def _alike(a: Column, b: Column) -> Column:
-    """How many first elements are equal."""
-    n = F.least(F.size(a), F.size(b))
-    differ = F.array_position(F.zip_with(F.slice(a, 1, n), F.slice(b, 1, n), lambda x, y: x != y), True)
-    return F.when(n == 0, 0).when(differ == 0, n).otherwise(differ.cast("int") - 1)
+    return df.mapInArrow(run, "doc_id long, text_hash long, gram long, windows array<struct<h1: long, h2: long, first: int, end: int>>")
 
 
 def runs(df: DataFrame, p: Winnow = Winnow()) -> DataFrame:
-    """df: doc_id, text_hash, text. (doc_id, text_hash, runs array<struct<first, end>>): the later repeated runs, by worded line."""
+    """df: doc_id, text_hash, text. (doc_id, text_hash, runs array<struct<first, end>>): the later repeats, by worded line; they overlap.
+
+    The small side of each join is written first: both sides are then plain exchanges, and a hash that a third of all rows have can be split."""
     found = reliable(places(df, p))
+    shared = reliable(found.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select(F.col("gram").alias("g")))
+    near = found.join(shared, F.col("gram") == F.col("g"), "left_semi").select("doc_id", "text_hash", F.explode("windows").alias("w")).select("doc_id", "text_hash", "w.*")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "first")
-    first = found.groupBy("gram").agg(F.min_by(F.struct("before", "own", "after", order.alias("at")), order).alias("a"), F.count("*").alias("n")).where("n > 1").select(F.col("gram").alias("g"), "a")
-    first = reliable(first)  # both sides of the join are then plain exchanges, and a fingerprint that a third of all rows have can be split
-    pairs = found.join(first, F.col("gram") == F.col("g")).where((order != F.col("a.at")) & (F.col("own") == F.col("a.own")))
-    left, right = _alike(F.col("before"), F.col("a.before")), _alike(F.col("after"), F.col("a.after"))
-    total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
-    grown = pairs.select("doc_id", "text_hash", "first", "end", left.alias("l"), right.alias("r"), "before_words", "own_words", "after_words")
-    grown = grown.where(total(F.slice("before_words", F.lit(1), F.col("l"))) + F.col("own_words") + total(F.slice("after_words", F.lit(1), F.col("r"))) >= p.run)
-    return grown.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct((F.col("first") - F.col("l")).alias("first"), (F.col("end") + F.col("r")).alias("end"))).alias("runs"))
+    first = near.groupBy("h1", "h2").agg(F.min(order).alias("at"), F.count("*").alias("n")).where("n > 1").select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), "at")
+    later = near.join(reliable(first), (F.col("h1") == F.col("a1")) & (F.col("h2") == F.col("a2"))).where(order != F.col("at"))
+    return later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "end")).alias("runs"))
 
 
 CUT = pa.struct([("text", pa.string()), ("removed", pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))), ("n_removed", pa.int32())])
