@@ -12,58 +12,29 @@ P = linededup.Winnow()
 
 
 def brute(docs, p=P):
-    """The definition, quadratically: docs (id, text) to the lines deleted of each distinct (id, text)."""
+    """The definition: every run of lines of RUN words and more, whatever its length, that stands earlier too. docs (id, text) to the lines deleted
+    of each distinct (id, text)."""
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     key = lambda d: (d[0] is None, d[0] or 0, signed(xxhash.xxh64_intdigest(d[1].encode(), 42)))
-    docs = sorted({(i, t or "") for i, t in docs}, key=key)
     out, first = {}, {}
-    worded = {}
-    for d in docs:
+    for d in sorted({(i, t or "") for i, t in docs}, key=key):
         lines, at, words = linededup.worded(d[1])
-        worded[d] = lines, at, words
         texts = [lines[i] for i in at]
-        grams = []
-        for i in range(len(at)):
-            j = i
-            while j < len(at) and sum(words[i:j]) < p.gram:
-                j += 1
-            grams.append((i, j) if sum(words[i:j]) >= p.gram else None)
-        hashed = []
-        for g in grams:
-            if g is None:
-                hashed.append(None)
-                continue
-            x = xxhash.xxh3_64_intdigest(texts[g[0]].encode())
-            for k in range(g[0] + 1, g[1]):
-                x = ((x ^ (x >> 29)) * 0xBF58476D1CE4E5B9 + xxhash.xxh3_64_intdigest(texts[k].encode())) % (1 << 64)
-            hashed.append(x)
-        chosen = set()
-        for i in range(len(at)):
-            j = i
-            while j < len(at) and sum(words[i:j]) < p.run:
-                j += 1
-            if sum(words[i:j]) < p.run:
-                continue
-            inside = [k for k in range(i, j) if grams[k] and grams[k][1] <= j]
-            chosen.add(min(inside, key=lambda k: (hashed[k], -k)))
+        total = [0]
+        for n in words:
+            total.append(total[-1] + n)
         gone = set()
-        for k in sorted(chosen):
-            a, b = grams[k]
-            place = first.setdefault(tuple(texts[a:b]), (d, a))
-            if place == (d, a):
-                continue
-            other = [worded[place[0]][0][i] for i in worded[place[0]][1]]
-            low, high, oa, ob = a, b, place[1], place[1] + b - a
-            while low and oa and texts[low - 1] == other[oa - 1]:
-                low, oa = low - 1, oa - 1
-            while high < len(texts) and ob < len(other) and texts[high] == other[ob]:
-                high, ob = high + 1, ob + 1
-            if sum(words[low:high]) >= p.run:
-                gone |= set(range(at[low], at[high - 1] + 1))
+        for a in range(len(at)):
+            for b in range(a + 1, min(len(at), a + LONGEST) + 1):
+                if total[b] - total[a] >= p.run and first.setdefault(tuple(texts[a:b]), (d, a)) != (d, a):
+                    gone |= set(range(at[a], at[b - 1] + 1))
         out[d] = gone
     return out
 
 
+LONGEST = 60  # lines of a run that brute() looks at; longer ones are unions of these in the tests' tables
+
+
 def check(spark, docs):
     df = spark.createDataFrame(docs, "doc_id bigint, text string")
     want = brute(docs)
@@ -93,6 +64,34 @@ def test_random_documents(spark):
     assert {x for _, t in docs for x in t.split("\n")} - kept == set()  # one of equal lines always stays
 
 
+def test_windows():
+    assert linededup.least_runs([30, 10, 25, 60, 5], 50) == [3, 4, 4, 4, 0]
+    r = random.Random(2)
+    for _ in range(300):
+        words = [r.choice([1, 5, 24, 25, 49, 50, 70]) for _ in range(r.randrange(1, 12))]
+        digests = [r.randbytes(16) for _ in words]
+        got = linededup.windows(digests, words, P)
+        spans = {w for _, ws in got.values() for w in ws}
+        every = {(a, b) for a in range(len(words)) for b in range(a + 1, len(words) + 1) if sum(words[a:b]) >= 50}
+        least = {(a, b) for a, b in every if (a, b - 1) not in every or (a + 1, b) not in every}
+        assert spans == {(a, b) for a, b in least if (a, b - 1) not in every} | {(a, b) for a, b in least if (a + 1, b) not in every}
+        for g, (_, ws) in got.items():
+            end = linededup.least_runs(words, P.gram)[g]
+            assert all(a <= g and end <= b for a, b in ws)  # the gram lies in its windows
+
+
+def test_selection_is_local():
+    """Whatever stands before and after a window, the same gram of it is selected."""
+    r = random.Random(4)
+    for _ in range(200):
+        words, digests = [30, 9, 12, 26], [r.randbytes(16) for _ in range(4)]
+        pad = [r.choice([3, 20, 55]) for _ in range(3)]
+        more = [r.randbytes(16) for _ in pad]
+        alone = {fp for fp, ws in linededup.windows(digests, words, P).values() if (0, 3) in ws}
+        inside = {fp for fp, ws in linededup.windows(more + digests + more, pad + words + pad, P).values() if (3, 6) in ws}
+        assert alone == inside and len(alone) == 1
+
+
 def test_passages(spark):
     """A passage of over 50 words stays once, whatever stands about it; a shorter one stays everywhere."""
     r = random.Random(9)
