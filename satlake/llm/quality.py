@@ -31,23 +31,25 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class Band:
-    """Bounds, all inclusive. Entropy grows with a text's length: a text of n words needs least_bits - slack / sqrt(n)."""
+    """Bounds, all inclusive. Entropy grows with a text's length, and a number or address weighs more in a short text: one of n words needs
+    least_bits - slack / sqrt(n) and least_chars - chars_slack / sqrt(n)."""
 
     least_chars: float
     most_chars: float
     most_bytes: float
     least_bits: float
     slack: float = 0.0
+    chars_slack: float = 0.0
 
 
 #: By language code, then by script. For the languages with their own code, bounds lie under all labelled clean documents of the test tables,
 #: entropy by a third of a bit; the others are wide.
 BANDS = {
-    "en": Band(1.75, 9.0, 0.10, 6.45, 11.0),
-    "de": Band(1.55, 9.0, 0.10, 6.5, 11.0),
-    "fr": Band(1.45, 9.0, 0.10, 6.45, 11.0),
-    "es": Band(1.50, 9.0, 0.10, 6.55, 11.0),
-    "latin": Band(1.45, 9.0, 0.15, 5.5, 11.0),
+    "en": Band(1.95, 9.0, 0.10, 6.45, 11.0, 3.0),
+    "de": Band(1.90, 9.0, 0.10, 6.5, 11.0, 3.0),
+    "fr": Band(1.70, 9.0, 0.10, 6.45, 11.0, 3.0),
+    "es": Band(1.70, 9.0, 0.10, 6.55, 11.0, 3.0),
+    "latin": Band(1.45, 9.0, 0.15, 5.5, 11.0, 3.0),
     "cyrillic": Band(1.2, 9.0, 0.20, 3.0),
     "greek": Band(0.8, 9.0, 0.30, 3.0),
     "arabic": Band(0.8, 9.0, 0.40, 3.0),
@@ -215,16 +217,17 @@ def judge(df: DataFrame, model: bytes, rules: Rules = Rules(), text: str = "text
     m = lambda n: F.col(f"`{raw}`.{n}")
     codes = [k for k in rules.bands if k not in SCRIPTS and k != "other"]
     name = F.when(F.lower(F.col(lang)).isin(codes), F.lower(F.col(lang))).otherwise(m("script")) if lang in df.columns else m("script")
-    bands = F.create_map(*[x for k, b in rules.bands.items() for x in (F.lit(k), F.struct(*[F.lit(float(getattr(b, n))).alias(n) for n in ("least_chars", "most_chars", "most_bytes", "least_bits", "slack")]))])
+    bands = F.create_map(*[x for k, b in rules.bands.items() for x in (F.lit(k), F.struct(*[F.lit(float(getattr(b, n))).alias(n) for n in ("least_chars", "most_chars", "most_bytes", "least_bits", "slack", "chars_slack")]))])
     band = F.coalesce(F.try_element_at(bands, name), F.try_element_at(bands, F.lit("other")))
     tokens = F.greatest(m("n_tokens"), F.lit(1))
     chars, share = m("word_chars") / tokens, m("n_byte_tokens") / tokens
     failed = (m("n_words") < rules.few) | (F.lit(100) * m("n_repeat_words") > F.lit(rules.share) * m("n_words"))
     long_enough = m("n_words") >= rules.least
-    least_bits = band["least_bits"] - band["slack"] / F.sqrt(F.greatest(m("n_words"), F.lit(1)).cast("double"))
+    root = F.sqrt(F.greatest(m("n_words"), F.lit(1)).cast("double"))
+    least_bits, least_chars = band["least_bits"] - band["slack"] / root, band["least_chars"] - band["chars_slack"] / root
     reason = (
         F.when(m("n_words") < rules.few, "few words").when(failed, "repeats")
-        .when(long_enough & (chars < band["least_chars"]), "few characters per token").when(long_enough & (chars > band["most_chars"]), "many characters per token")
+        .when(long_enough & (chars < least_chars), "few characters per token").when(long_enough & (chars > band["most_chars"]), "many characters per token")
         .when(long_enough & (share > band["most_bytes"]), "bytes").when(long_enough & (m("token_bits") < least_bits), "low entropy")
     )
     df = put(df, out, F.struct(*[m(n).alias(n) for n in NAMES], name.alias("band"), chars.alias("chars_per_token"), share.alias("byte_share"), failed.alias("base_failed"), reason.alias("reason"), reason.isNull().alias("kept")))
