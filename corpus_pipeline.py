@@ -44,7 +44,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each whole text, and whether they decode to it."""
     ranks = bpe.read_ranks(RANKS)
-    ids = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks, public_tokenizers.PATTERN)
+    ids = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
     return ids.select("doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", (F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))
 
 

@@ -245,3 +245,20 @@ def decode(df: DataFrame, ranks: bytes, pattern: str, ids: str = "token_ids", ou
 
     run.__annotations__ = {"arrays": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return put(df, out, F.arrow_udf(run, "binary")(F.col(ids)))
+
+
+def round_trip(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", out: str = "token_ids", back: str = "decoded") -> DataFrame:
+    """encode() and decode() of the ids just made, in one Python worker a task instead of two."""
+    small_batches(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(ranks)
+
+    def work() -> Callable:
+        codec = _codec(shared.value, pattern)
+        return lambda texts: [{"ids": ids, "bytes": codec.decode(ids)} for ids in codec.encode(texts)]
+
+    both = f"{out}__{back}"
+    while both in df.columns:
+        both += "_"
+    kind = pa.struct([("ids", pa.list_(pa.int32())), ("bytes", pa.binary())])
+    done = df.withColumn(both, text_udf(work, "struct<ids: array<int>, bytes: binary>", kind)(F.col(text)))
+    return done.withColumns({out: F.col(f"`{both}`.ids"), back: F.col(f"`{both}`.bytes")}).drop(both)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
@@ -50,6 +52,13 @@ def texts_of(array: pa.Array) -> Iterator[list[str]]:
         at = end
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: a Python worker idles on after its task, beside those of later stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_udf(work: Callable[[], Callable[[list[str]], Iterable]], returns: str, kind: pa.DataType) -> Callable[[Column | str], Column]:
     """An Arrow UDF over one text column. work() is called once a task and gives the function from a run of texts
     (null: empty) to one result each."""
@@ -59,7 +68,8 @@ def text_udf(work: Callable[[], Callable[[list[str]], Iterable]], returns: str,
         for a in arrays:
             parts = [pa.array(list(f(c)), type=kind) for c in texts_of(a)]
             yield pa.concat_arrays(parts) if parts else pa.array([], type=kind)
-            pa.default_memory_pool().release_unused()
+        del f
+        give_back()
 
     run.__annotations__ = {"arrays": Iterator[pa.Array], "return": Iterator[pa.Array]}
     return F.arrow_udf(run, returns)

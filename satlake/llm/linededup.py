@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from satlake.llm.common import reliable, small_batches
+from satlake.llm.common import give_back, reliable, small_batches
 
 _MASK = (1 << 64) - 1
 
@@ -119,6 +119,7 @@ def places(df: DataFrame, p: Winnow) -> DataFrame:
                         rows = []
             if rows:
                 yield batch(rows)
+        give_back()
 
     return df.mapInArrow(run, "doc_id long, text_hash long, gram long, windows array<struct<h1: long, h2: long, first: int, end: int>>")
 

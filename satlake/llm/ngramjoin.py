@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from satlake.llm.common import components, reliable, small_batches, texts_of
+from satlake.llm.common import components, give_back, reliable, small_batches, texts_of
 
 
 SALTS = 32
@@ -167,6 +167,7 @@ def _bands(p: Join):
                 node = batch.column(0).slice(at, len(texts)).to_numpy(zero_copy_only=False)[full]
                 at += len(texts)
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(node, p.bands))], names=["band", "node"])
+        give_back()
 
     return run
 

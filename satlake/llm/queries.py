@@ -61,8 +61,7 @@ def op6_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(RANKS)
-    ids = bpe.encode(documents(spark, sf_dir).select("doc_id", "text"), ranks, public_tokenizers.PATTERN).select("doc_id", "token_ids")
-    both = bpe.decode(ids, ranks, public_tokenizers.PATTERN)
+    both = bpe.round_trip(documents(spark, sf_dir).select("doc_id", "text"), ranks, public_tokenizers.PATTERN)
     return both.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
