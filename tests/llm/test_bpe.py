@@ -68,6 +68,8 @@ def test_odd_tables(spark, reference, make):
     assert set(out.columns) == {*df.columns, "token_ids", "decoded"}
     got = out.select("text", "token_ids", "decoded").collect()
     assert len(got) == df.count()
+    both = bpe.round_trip(df, RANKS, P.PATTERN)
+    assert both.columns == out.columns and both.select("text", "token_ids", "decoded").collect() == got
     for r in got:
         assert r.token_ids == reference.encode_ordinary(r.text or "") and bytes(r.decoded) == (r.text or "").encode()
 
