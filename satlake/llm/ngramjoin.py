@@ -17,7 +17,8 @@ Shingles and classes are told apart by 64-bit and 128-bit hashes.
 
 Result: one row a document: its class (least document id of the equal texts), its group (least id of all linked, directly or through others), how many
 different texts it is linked to, and how many other documents, copies included. Null text: empty. Null id: it can be no class's or group's
-name unless the class has no other id. Rows of equal id and text are documents of their own, and copies of each other.
+name unless the class has no other id. Rows of equal id and text are documents of their own, and copies of each other. Where an id repeats with
+other text, groups that aren't linked can have one name: the group's key tells them apart (null for texts without words, which are in no group).
 """
 
 from __future__ import annotations
@@ -204,7 +205,7 @@ def _units(p: Join):
 
 
 def classes(df: DataFrame, p: Join = Join()) -> DataFrame:
-    """df: doc_id, text (not null). (md5, node, class, copies, group, links, others) of each class that has copies or links."""
+    """df: doc_id, text (not null). (md5, node, class, copies, group, key, links, others) of each class; key is the group's own, whatever its ids."""
     small_batches(df.sparkSession)
     node, key = F.xxhash64("text").alias("node"), F.md5(F.col("text").cast("binary")).alias("md5")
     bands = df.select(node, "text").mapInArrow(_bands(p), "band long, node long")
@@ -254,29 +255,29 @@ def classes(df: DataFrame, p: Join = Join()) -> DataFrame:
     joined = named.join(found.withColumnsRenamed({"md5": "m", "node": "o"}), (F.col("md5") == F.col("m")) & (F.col("node") == F.col("o")), "left").join(roots, (F.col("node") == F.col("n")) & F.col("m").isNotNull(), "left")
     joined = joined.select("md5", "node", "class", "copies", F.col("r").alias("root"), F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("others", F.lit(0)).alias("others"))
     first = joined.where("root is not null").groupBy("root").agg(F.min("class").alias("group")).withColumnRenamed("root", "r")
-    return joined.join(first, F.col("root") == F.col("r"), "left").select("md5", "node", "class", "copies", F.coalesce("group", "class").alias("group"), "links", "others")
+    return joined.join(first, F.col("root") == F.col("r"), "left").select("md5", "node", "class", "copies", F.coalesce("group", "class").alias("group"), F.coalesce(F.col("root").cast("string"), "md5").alias("key"), "links", "others")
 
 
 def near_duplicates(df: DataFrame, p: Join = Join(), id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The input's rows in a struct `row`, with class, group, links (different texts) and others (documents linked, copies included)."""
+    """The input's rows in a struct `row`, with class, group, the group's key, links (different texts) and others (documents linked, copies included)."""
     plain = F.coalesce(F.col(text), F.lit(""))
     found = classes(df.select(F.col(id).cast("long").alias("doc_id"), plain.alias("text")), p).withColumnsRenamed({"md5": "m", "node": "n"})
-    rows = df.select(F.struct("*").alias("row"), F.md5(plain.cast("binary")).alias("key"), plain.rlike(r"[^\x20\x09-\x0D]").alias("worded"))
-    joined = rows.join(found, F.col("key") == F.col("m"))
+    rows = df.select(F.struct("*").alias("row"), F.md5(plain.cast("binary")).alias("own_md5"), plain.rlike(r"[^\x20\x09-\x0D]").alias("worded"))
+    joined = rows.join(found, F.col("own_md5") == F.col("m"))
     own = F.col(f"row.`{id}`").cast("long")
     pick = lambda c, empty: F.when(F.col("worded"), c).otherwise(empty)
-    return joined.select("row", pick(F.col("class"), own).alias("class"), pick(F.col("group"), own).alias("group"), F.col("links"), pick(F.col("others") + F.col("copies") - 1, F.lit(0)).alias("others"))
+    return joined.select("row", pick(F.col("class"), own).alias("class"), pick(F.col("group"), own).alias("group"), pick(F.col("key"), F.lit(None)).alias("key"), F.col("links"), pick(F.col("others") + F.col("copies") - 1, F.lit(0)).alias("others"))
 
 
 def keep_one(df: DataFrame, p: Join = Join(), id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of df that stay: of each group the one of the least id (rows of that id: the text of least MD5, and one of them); texts without
+    """The rows of df that stay: of each group, told by its key, the one of the least id (rows of that id: the text of least MD5, and one of them); texts without
     words all stay. Rows are looked up by id and text at once, which is not hot however many copies there are."""
     plain = F.coalesce(F.col(text), F.lit(""))
     worded = plain.rlike(r"[^\x20\x09-\x0D]")
     found = classes(df.where(worded).select(F.col(id).cast("long").alias("doc_id"), plain.alias("text")), p)
-    first = found.where(F.col("class").eqNullSafe(F.col("group"))).groupBy("group").agg(F.min("md5").alias("m"))
-    rows = df.where(worded).select(F.struct("*").alias("row"), F.col(id).cast("long").alias("own"), F.md5(plain.cast("binary")).alias("key"))
-    named = found.where(F.col("group").isNull()).select(F.col("class").alias("group"), F.col("md5").alias("m"))  # classes whose documents have no id
-    kept = rows.join(first.where("group is not null").unionByName(named), F.col("own").eqNullSafe(F.col("group")) & (F.col("key") == F.col("m")))
-    one = kept.groupBy("group", "m").agg(F.first("row").alias("row"))
+    first = found.where("group is not null").groupBy("key").agg(F.min(F.when(F.col("class").isNotNull(), F.struct("class", "md5"))).alias("least")).select("least.class", F.col("least.md5").alias("m"))
+    named = found.where("group is null").select("class", F.col("md5").alias("m"))  # classes whose documents have no id
+    rows = df.where(worded).select(F.struct("*").alias("row"), F.col(id).cast("long").alias("own"), F.md5(plain.cast("binary")).alias("own_md5"))
+    kept = rows.join(first.unionByName(named), F.col("own").eqNullSafe(F.col("class")) & (F.col("own_md5") == F.col("m")))
+    one = kept.groupBy("class", "m").agg(F.first("row").alias("row"))
     return one.select("row.*").unionByName(df.where(~worded))

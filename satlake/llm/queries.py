@@ -33,7 +33,7 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = ngramjoin.near_duplicates(documents(spark, sf_dir).select("doc_id", "text"))
-    return df.select("row.doc_id", F.col("group").alias("class_id"), F.col("class").alias("text_id"), F.col("links").alias("n_links"), F.col("others").alias("n_linked_docs"))
+    return df.select("row.doc_id", F.col("group").alias("class_id"), F.col("key").alias("class_key"), F.col("class").alias("text_id"), F.col("links").alias("n_links"), F.col("others").alias("n_linked_docs"))
 
 
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -161,6 +161,22 @@ def test_keep_one(spark, docs):
     assert kept == [id for id, group, _, _ in sorted(brute(docs)) if id == group]
 
 
+def test_repeated_ids(spark, tmp_path):
+    """Unlinked texts of one id are groups of their own, whether copies, near copies or alone; each keeps a document."""
+    r = random.Random(31)
+    a, b, c = ([word(r) for _ in range(60)] for _ in range(3))
+    near = " ".join([*b[:59], "changed"])
+    docs = [(1, " ".join(a)), (1, " ".join(b)), (1, " ".join(c)), (2, near), (3, " ".join(c))]
+    df = table(spark, docs)
+    assert got(N.near_duplicates(df)) == brute(docs)
+    assert sorted((r.doc_id, r.text) for r in N.keep_one(df).collect()) == sorted(docs[:3])
+    key = {(r.row.doc_id, r.row.text): r.key for r in N.near_duplicates(df).collect()}
+    assert len(set(key.values())) == 3 and key[docs[1]] == key[docs[3]] and key[docs[2]] == key[docs[4]]
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    out = op3_ngram_join(spark, str(tmp_path)).collect()
+    assert {r.class_id for r in out} == {1} and len({r.class_key for r in out}) == 3
+
+
 def test_query(spark, sf):
     docs = [(d.doc_id, d.text) for d in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     have = sorted(((r.doc_id, r.class_id, r.n_links, r.n_linked_docs) for r in op3_ngram_join(spark, sf).collect()), key=repr)
