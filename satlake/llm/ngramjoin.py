@@ -270,14 +270,14 @@ def near_duplicates(df: DataFrame, p: Join = Join(), id: str = "doc_id", text: s
 
 
 def keep_one(df: DataFrame, p: Join = Join(), id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of df that stay: of each group, told by its key, the one of the least id (rows of that id: the text of least MD5, and one of them); texts without
+    """The rows of df that stay: of each group, told by its key, the one of the least id (rows of that id, or without any id: the text of least MD5, and one of them); texts without
     words all stay. Rows are looked up by id and text at once, which is not hot however many copies there are."""
     plain = F.coalesce(F.col(text), F.lit(""))
     worded = plain.rlike(r"[^\x20\x09-\x0D]")
     found = classes(df.where(worded).select(F.col(id).cast("long").alias("doc_id"), plain.alias("text")), p)
-    first = found.where("group is not null").groupBy("key").agg(F.min(F.when(F.col("class").isNotNull(), F.struct("class", "md5"))).alias("least")).select("least.class", F.col("least.md5").alias("m"))
-    named = found.where("group is null").select("class", F.col("md5").alias("m"))  # classes whose documents have no id
+    least = F.min(F.struct(F.col("class").isNull().alias("none"), "class", "md5"))  # a null id is the least only where the group has no other
+    first = found.groupBy("key").agg(least.alias("least")).select("least.class", F.col("least.md5").alias("m"))
     rows = df.where(worded).select(F.struct("*").alias("row"), F.col(id).cast("long").alias("own"), F.md5(plain.cast("binary")).alias("own_md5"))
-    kept = rows.join(first.unionByName(named), F.col("own").eqNullSafe(F.col("class")) & (F.col("own_md5") == F.col("m")))
+    kept = rows.join(first, F.col("own").eqNullSafe(F.col("class")) & (F.col("own_md5") == F.col("m")))
     one = kept.groupBy("class", "m").agg(F.first("row").alias("row"))
     return one.select("row.*").unionByName(df.where(~worded))

@@ -177,6 +177,16 @@ def test_repeated_ids(spark, tmp_path):
     assert {r.class_id for r in out} == {1} and len({r.class_key for r in out}) == 3
 
 
+def test_null_ids(spark):
+    """Near copies without ids are one group, of which one stays; unlinked ones all stay, and an id goes before none."""
+    r = random.Random(32)
+    a, b, c = ([word(r) for _ in range(60)] for _ in range(3))
+    near = lambda w: " ".join([*w[:59], "changed"])
+    docs = [(None, " ".join(a)), (None, near(a)), (None, near(a)), (None, " ".join(b)), (None, " ".join(c)), (9, near(c))]
+    kept = [(r.doc_id, r.text) for r in N.keep_one(table(spark, docs)).collect()]
+    assert len(kept) == 3 and len({t for _, t in kept} & {docs[0][1], docs[1][1]}) == 1 and {docs[3], docs[5]} < set(kept)
+
+
 def test_query(spark, sf):
     docs = [(d.doc_id, d.text) for d in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     have = sorted(((r.doc_id, r.class_id, r.n_links, r.n_linked_docs) for r in op3_ngram_join(spark, sf).collect()), key=repr)
