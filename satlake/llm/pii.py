@@ -1,8 +1,8 @@
 """Personal data by a skip-chain conditional random field.
 
 Tokens (what white space separates) that hold a digit or `@`, and two tokens at either side, are variables with a label each: none, email, ip,
-card or phone. Neighbours are tied by a chain. Far-apart tokens of the same text are tied by skip edges: each to the next
-that is equal, and to the next of equal shape and beginning, so a label that one place makes certain carries over to the others.
+card or phone. Neighbours are tied by a chain. Tokens of the same text that the chain doesn't tie are tied by skip edges, in one segment or in two: each to the next
+that is equal, or else to the next of equal shape and beginning, so a label that one place makes certain carries over to the others.
 Loopy sum-product message passing over both kinds of edges gives each token's marginals. Every other token is taken as observed to be none.
 
 The weights (features, transitions and the two kinds of skip edges) are fitted by pseudo-likelihood on sentences from a seeded generator, on
@@ -167,19 +167,22 @@ def scores(words: list[str], weights: np.ndarray, block: int = 4096) -> np.ndarr
 
 
 def skips(words: list[str], segment: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Edges to the next equal token, and to the next of equal shape and first characters, in other segments; those with a digit or `@` only."""
-    same: dict[str, int] = {}
-    like: dict[tuple[str, str], int] = {}
+    """Edges to the next equal token, and to the next of equal shape and first characters; those with a digit or `@` only. Tokens that the chain
+    ties already (adjacent ones of a segment) are passed over for the one before, so that a run of equal tokens is tied too."""
+    last: dict[str | tuple[str, str], tuple[int, int]] = {}  # the last two of each kind
     equal, alike = [], []
     for i, w in enumerate(words):
         w = w.strip(EDGE).lower()
         if len(w) < 3 or not TRIGGER.search(w):
             continue
-        if (j := same.get(w)) is not None and segment[j] != segment[i]:
-            equal.append((j, i))
-        elif (j := like.get((_shape(w), w[:3]))) is not None and segment[j] != segment[i]:
-            alike.append((j, i))
-        same[w] = like[_shape(w), w[:3]] = i
+        for key, into in ((w, equal), ((_shape(w), w[:3]), alike)):
+            a, b = last.get(key, (-1, -1))
+            j = a if b == i - 1 and b >= 0 and segment[b] == segment[i] else b
+            if j >= 0:
+                into.append((j, i))
+                break
+        for key in (w, (_shape(w), w[:3])):
+            last[key] = (last.get(key, (-1, -1))[1], i)
     return equal, alike
 
 

@@ -79,6 +79,24 @@ def test_skip_edges_carry_labels(model):
     assert with_ > without
 
 
+def test_skip_edges_within_a_segment(model):
+    """Tokens of one segment are tied as others are, unless they are adjacent; and so labels carry over."""
+    words = "x119 aa x119 x119 bb x118 x119".split()
+    assert pii.skips(words, [0] * 7) == ([(0, 2), (0, 3), (3, 6)], [(3, 5)])
+    assert pii.skips(["x11"] * 5, [0] * 5)[0] == [(0, 2), (1, 3), (2, 4)]
+    assert pii.skips(["x11"] * 3, [0, 1, 2])[0] == [(0, 1), (1, 2)]
+    t = "phone 555-201-7788 in 2019 aa bb 12 cc dd ee 34 ff gg hh 56 saw 555-201-7788 too"
+    (seg,) = pii.tokens(t)
+    ws = [t[a:b] for a, b in seg]
+    same, like = (np.array(e, np.int64).reshape(-1, 2) for e in pii.skips(ws, [0] * len(ws)))
+    chain, none = np.array([(i, i + 1) for i in range(len(ws) - 1)]), np.zeros((0, 2), np.int64)
+    first, last = (i for i, w in enumerate(ws) if w == "555-201-7788")
+    assert same.tolist() == [[first, last]]
+    unary = pii.scores(ws, model[0])
+    unary[last] = 0  # nothing is known of the second
+    assert pii.marginals(unary, (chain, same, like), model)[last, 4] > pii.marginals(unary, (chain, none, like), model)[last, 4]
+
+
 def test_field_adds_and_base_stays(model):
     find = pii._find(model, 0.9)
     t = "tokens erntou +1 (269) 555-3296 4524132264652876 and on and on, mail an.42@mail8.example.com here"
