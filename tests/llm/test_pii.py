@@ -97,6 +97,23 @@ def test_skip_edges_within_a_segment(model):
     assert pii.marginals(unary, (chain, same, like), model)[last, 4] > pii.marginals(unary, (chain, none, like), model)[last, 4]
 
 
+def test_messages_reach_the_end_of_a_chain():
+    """A label that is sure at one end is so at the other, 40 skip edges away, as on any tree; texts don't touch each other's messages."""
+    n, k = 41, len(pii.LABELS)
+    unary = np.zeros((n, k))
+    unary[0, 4] = 20
+    tie = np.eye(k) * 8
+    none = np.zeros((0, 2), np.int64)
+    edges = (none, np.array([(i, i + 1) for i in range(n - 1)]), none)
+    step = np.exp(tie) / np.exp(tie).sum(axis=1, keepdims=True)
+    start = np.exp(unary[0]) / np.exp(unary[0]).sum()
+    alone = pii.marginals(unary, edges, (None, tie, tie, tie))
+    assert alone[-1] == pytest.approx(start @ np.linalg.matrix_power(step, n - 1), abs=1e-3) and alone[-1, 4] > 0.9
+    both = tuple(np.concatenate([e, e + n]) for e in edges)
+    two = pii.marginals(np.concatenate([unary, unary * 0]), both, (None, tie, tie, tie), owner=np.repeat([0, 1], n))
+    assert np.array_equal(two[:n], alone) and two[-1] == pytest.approx(np.full(k, 1 / k))
+
+
 def test_field_adds_and_base_stays(model):
     find = pii._find(model, 0.9)
     t = "tokens erntou +1 (269) 555-3296 4524132264652876 and on and on, mail an.42@mail8.example.com here"
