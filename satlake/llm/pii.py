@@ -1,6 +1,6 @@
 """Personal data by a skip-chain conditional random field.
 
-Tokens (what white space separates) that hold a digit or `@`, and two tokens at either side, are variables with a label each: none, email, ip,
+Tokens (what white space separates) that hold a digit or `@`, and two tokens at either side (within 64 characters), are variables with a label each: none, email, ip,
 card or phone. Neighbours are tied by a chain. Tokens of the same text that the chain doesn't tie are tied by skip edges, in one segment or in two: each to the next
 that is equal, or else to the next of equal shape and beginning, so a label that one place makes certain carries over to the others.
 Loopy sum-product message passing over both kinds of edges, until messages settle, gives each token's marginals. Every other token is taken as observed to be none.
@@ -96,7 +96,8 @@ SETTLED = 1e-5  # a message that changes by less isn't passed on
 
 
 def tokens(text: str) -> list[list[tuple[int, int]]]:
-    """Segments of adjacent tokens (start, end): each token with a trigger, and whole tokens near it at either side."""
+    """Segments of adjacent tokens (start, end): each token with a trigger, and at either side up to two tokens that lie
+    wholly within REACH characters; longer neighbours are no variables."""
     found: set[tuple[int, int]] = set()
     end = 0
     for m in TRIGGER.finditer(text):
@@ -125,18 +126,18 @@ def tokens(text: str) -> list[list[tuple[int, int]]]:
 
 
 def _shape(s: str) -> str:
-    return re.sub(r"[A-Za-z]+", "a", re.sub(r"[0-9]", "9", s[:40]))
+    return re.sub(r"[A-Za-z]+", "a", re.sub(r"[0-9]", "9", s))
 
 
 def _own(word: str) -> list[float]:
     """Features of a token by itself."""
-    w = word.strip(EDGE)[:400]
+    w = word.strip(EDGE)
     digits = re.sub(r"[^0-9]", "", w)
     n, dots = len(digits), w.count(".")
     letters = sum(c.isalpha() for c in w)
     parts = w.split(".")
     return [
-        1.0, float("@" in w), float(bool(EMAIL.fullmatch(w))), *[float(a <= n < b) for a, b in zip(BINS, (*BINS[1:], 1 << 30), strict=True)],
+        1.0, float("@" in w), float(bool(_EMAIL_FAST.fullmatch(w))), *[float(a <= n < b) for a, b in zip(BINS, (*BINS[1:], 1 << 30), strict=True)],
         float(n > 0 and n == len(w)), float(letters > 0), float(letters > 0 and n > 0), float(letters > 3 * n), *[float(dots == k) for k in (1, 2, 3)], float(dots > 3),
         float(len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) < 4 and int(p) <= 255 for p in parts)), float("+" in word[:2]), float("(" in word or ")" in word), float("-" in w),
         float(bool(re.fullmatch(r"[0-9]{3,4}-[0-9]{4}", w))), float(bool(re.fullmatch(r"[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}", w))), float(bool(re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", w))), float(":" in w or "/" in w), float(16 <= n <= 19 and n >= len(w) - 3 and luhn(digits)), float("=" in word or '"' in word),

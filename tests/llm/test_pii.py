@@ -114,6 +114,14 @@ def test_messages_reach_the_end_of_a_chain():
     assert np.array_equal(two[:n], alone) and two[-1] == pytest.approx(np.full(k, 1 / k))
 
 
+def test_whole_tokens_are_read():
+    """What stands at the end of a long token counts as what stands at its beginning."""
+    names = "a" * 500
+    assert pii._own(names) != pii._own(names + "1234567") and pii._own(names + "@x.org")[1:3] == [1.0, 1.0]
+    long = ["a" * 50 + "-1", "b", "a" * 50 + "_2x"]
+    assert pii.skips(long, [0, 1, 2]) == ([], []) and pii.skips([long[0], "b", "a" * 50 + "-2"], [0, 1, 2]) == ([], [(0, 2)])
+
+
 def test_field_adds_and_base_stays(model):
     find = pii._find(model, 0.9)
     t = "tokens erntou +1 (269) 555-3296 4524132264652876 and on and on, mail an.42@mail8.example.com here"
