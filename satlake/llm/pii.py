@@ -8,7 +8,9 @@ Loopy sum-product message passing over both kinds of edges, until messages settl
 The weights (features, transitions and the two kinds of skip edges) are fitted by pseudo-likelihood on sentences from a seeded generator, on
 the driver, at the first use in a session: a model of a few hundred numbers, the same whatever table is read. `Training` holds all parameters.
 
-Base rules find what is certain; their spans stay as they are. The field adds spans where it finds an entity and no base span overlaps. Null
+Base rules find what is certain; their spans stay as they are. The field adds spans where it finds an entity: base spans are cut out of a run
+of tokens of one label, and what is left is added. What a base span leaves of a token (a port, a bracket, or another entity) is added only if
+the model gives it that label by itself, without neighbours. Null
 and empty texts have no spans. Repeated rows each have the same spans. Work is linear in the text, whatever it holds.
 """
 
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_right
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
@@ -344,10 +347,56 @@ def marginals(unary: np.ndarray, edges: tuple[np.ndarray, ...], model: tuple[np.
 
 # ---------------------------------------------------------------- whole texts
 
+def _disjoint(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for b, e in sorted(spans):
+        if out and b < out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((b, e))
+    return out
+
+
+def uncut(run: list[tuple[int, int]], base: list[tuple[int, int]], fits: Callable[[int, int], bool]) -> list[tuple[int, int]]:
+    """What disjoint, sorted base spans leave of a run of tokens: whole tokens, joined if adjacent, and those rests of tokens that fit."""
+    out: list[tuple[int, int]] = []
+    at, joined = bisect_right(base, run[0][0], key=lambda s: s[1]), False
+    for b, e in run:
+        rests, low = [], b
+        while at < len(base) and base[at][1] <= b:
+            at, joined = at + 1, False
+        while at < len(base) and base[at][0] < e:
+            rests.append((low, base[at][0]))
+            low = base[at][1]
+            if low > e:
+                break
+            at += 1
+        if low > b or rests:
+            rests = [s for s in [*rests, (low, e)] if s[0] < s[1] and fits(*s)]
+        else:
+            rests = [(b, e)]
+        if joined and rests and rests[0][0] == b:
+            out[-1] = (out[-1][0], rests.pop(0)[1])
+        elif rests:
+            out.append(rests.pop(0))
+        else:
+            joined = False
+            continue
+        out += rests
+        joined = out[-1][1] == e
+    return out
+
+
 def _find(model: tuple[np.ndarray, ...], sure: float) -> Callable[[list[str]], list]:
+    def alone(word: str) -> int:
+        z = features([word])[0] @ model[0]
+        q = np.exp(z - z.max())
+        return int(q.argmax()) if q.max() >= sure * q.sum() else 0
+
     def find(texts: list[str]) -> list:
         out = [[(k, b, e, "base") for k, b, e in base_spans(t)] for t in texts]
-        spans, words, segment, owner, chain, equal, alike, rows = [], [], [], [], [], [], [], []
+        base = [_disjoint([(b, e) for _, b, e, _ in found]) for found in out]
+        spans, segment, owner, chain, equal, alike, rows = [], [], [], [], [], [], []
         for i, t in enumerate(texts):
             first, own = len(spans), []
             for s, seg in enumerate(tokens(t)):
@@ -357,7 +406,6 @@ def _find(model: tuple[np.ndarray, ...], sure: float) -> Callable[[list[str]], l
                 spans += seg
                 own += [(w, s) for w in ws]
             owner += [i] * len(own)
-            words += [w for w, _ in own]
             e, a = skips([w for w, _ in own], [s for _, s in own])
             equal += [(first + u, first + v) for u, v in e]
             alike += [(first + u, first + v) for u, v in a]
@@ -372,24 +420,16 @@ def _find(model: tuple[np.ndarray, ...], sure: float) -> Callable[[list[str]], l
                 if k:
                     while n < len(spans) and segment[n] == segment[j] and label[n] == k:
                         n += 1
-                    if any(TRIGGER.search(words[m]) for m in range(j, n)):
-                        begin, end = spans[j][0], spans[n - 1][1]
-                        t = texts[owner[j]]
+                    t = texts[owner[j]]
+                    for begin, end in uncut(spans[j:n], base[owner[j]], lambda b, e: bool(TRIGGER.search(t, b, e)) and alone(t[b:e]) == k):  # noqa: B023
                         while begin < end and t[begin] in EDGE:
                             begin += 1
                         while begin < end and t[end - 1] in EDGE:
                             end -= 1
-                        if begin < end:
+                        if TRIGGER.search(t, begin, end):
                             out[owner[j]].append((int(k) - 1, begin, end, "field"))
                 j = n
-        done = []
-        for found in out:
-            base = sorted((b, e) for _, b, e, s in found if s == "base")
-            starts = np.array([b for b, _ in base], np.int64)
-            reach = np.maximum.accumulate(np.array([e for _, e in base], np.int64)) if base else starts
-            keep = [f for f in found if f[3] == "base" or (n := int(np.searchsorted(starts, f[2]))) == 0 or reach[n - 1] <= f[1]]
-            done.append([{"kind": KINDS[k], "start": b, "end": e, "source": s} for k, b, e, s in sorted(keep)])
-        return done
+        return [[{"kind": KINDS[k], "start": b, "end": e, "source": s} for k, b, e, s in sorted(found)] for found in out]
 
     return find
 

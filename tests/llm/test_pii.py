@@ -122,6 +122,19 @@ def test_whole_tokens_are_read():
     assert pii.skips(long, [0, 1, 2]) == ([], []) and pii.skips([long[0], "b", "a" * 50 + "-2"], [0, 1, 2]) == ([], [(0, 2)])
 
 
+def test_field_keeps_what_base_spans_leave(model):
+    """A phone number that only the field finds stays beside one that a base rule finds; brackets and ports beside base spans are none."""
+    find = pii._find(model, 0.9)
+    t = "call phone +1 (988) 555-2485, 555-123-4567 and"
+    assert [(s["kind"], t[s["start"] : s["end"]], s["source"]) for s in find([t])[0]] == [("phone", "+1 (988) 555-2485", "base"), ("phone", "555-123-4567", "field")]
+    assert all(s["source"] == "base" for s in find(["server 10.20.30.40:8080 and mail <an.42@example.com>, host 10.1.2.3/24 up"])[0])
+    yes, no = (lambda b, e: True), (lambda b, e: False)
+    run = [(0, 4), (5, 9), (10, 14), (15, 19)]
+    assert pii.uncut(run, [], no) == [(0, 19)] and pii.uncut(run, [(0, 19)], yes) == [] and pii.uncut(run, [(20, 30)], no) == [(0, 19)]
+    assert pii.uncut(run, [(5, 9)], no) == [(0, 4), (10, 19)] and pii.uncut(run, [(3, 7)], no) == [(10, 19)] and pii.uncut(run, [(3, 7)], yes) == [(0, 3), (7, 19)]
+    assert pii.uncut(run, [(1, 2), (6, 12)], yes) == [(0, 1), (2, 6), (12, 19)] and pii.uncut(run, [(4, 5), (9, 10)], no) == [(0, 4), (5, 9), (10, 19)]
+
+
 def test_field_adds_and_base_stays(model):
     find = pii._find(model, 0.9)
     t = "tokens erntou +1 (269) 555-3296 4524132264652876 and on and on, mail an.42@mail8.example.com here"
