@@ -97,10 +97,11 @@ def partition_label(height: int) -> str:
     """Thousands as `k`, whole millions as `m`, other multiples of 100,000 from a million on by those (1,100,000 is `11m`), anything else in full."""
     if height == 0:
         return "0"
-    for below, unit, mark in ((1_000_000, 1000, "k"), (None, 1_000_000, "m"), (None, 100_000, "m")):
-        if height < below if below else height % unit == 0:
-            return f"{height // unit}{mark}"
-    return str(height)
+    if height < 1_000_000:
+        return f"{height // 1000}k"
+    if height % 1_000_000 == 0:
+        return f"{height // 1_000_000}m"
+    return f"{height // 100_000}m" if height % 100_000 == 0 else str(height)
 
 
 def partition_range(height: int, width: int = BUCKET) -> tuple[int, int]:

@@ -35,6 +35,12 @@ def spends(inputs: DataFrame) -> DataFrame:
     return named.where("before is null").drop("before")
 
 
+def until_next(outputs: DataFrame) -> DataFrame:
+    """Outputs with `until`: the next height at which the same outpoint occurs again, null for all but a few early ones. An input spends the output whose
+    height is not after its own and whose `until` is. The window has the partitioning that a join on the outpoint needs."""
+    return outputs.withColumn("until", F.lead("block_height").over(Window.partitionBy("txid", "vout_idx").orderBy("block_height")))
+
+
 def outputs_with_spend(outputs: DataFrame, spent: DataFrame) -> DataFrame:
     """Outputs with is_spent and the spend's columns. Should an outpoint occur at several heights, its spend belongs to the latest output
     not after it; the window has the join's partitioning and order, so that costs no shuffle."""
@@ -88,7 +94,12 @@ def sender_deltas(spent: DataFrame, outputs: DataFrame) -> DataFrame:
 
 def sender_rows(spent: DataFrame, outputs: DataFrame, transactions: DataFrame, blocks: DataFrame) -> DataFrame:
     """What each address spends in a transaction: role 1, negative."""
-    sent = sender_deltas(spent, outputs).groupBy("txid", "block_height", "address").agg(F.sum("delta").alias("net_value_sats"))
+    return sender_rows_of(sender_deltas(spent, outputs), transactions, blocks)
+
+
+def sender_rows_of(deltas_: DataFrame, transactions: DataFrame, blocks: DataFrame) -> DataFrame:
+    """The same from debits: address, block_height, txid, delta."""
+    sent = deltas_.groupBy("txid", "block_height", "address").agg(F.sum("delta").alias("net_value_sats"))
     return _with_tx(sent, transactions, blocks, "txid", "block_height").select("address", "block_height", "tx_index", "txid", F.lit(SENDER).alias("role"), "net_value_sats", "block_time")
 
 
@@ -102,10 +113,10 @@ def sum_history(rows: DataFrame) -> DataFrame:
 
 
 def deltas(marked: DataFrame) -> DataFrame:
-    """Credits and debits by address from outputs with spend state: address, txid, block_height, delta, and `open`, 1 for the credit of an
-    unspent output and else 0. One scan gives both."""
-    credit = F.struct("txid", F.col("block_height").alias("block_height"), F.col("value_sats").alias("delta"), (~F.col("is_spent")).cast("int").alias("open"))
-    debit = F.struct(F.col("spending_txid").alias("txid"), F.col("spent_height").alias("block_height"), (-F.col("value_sats")).alias("delta"), F.lit(0).alias("open"))
+    """Credits and debits by address from outputs with spend state: address, txid, block_height, delta, and `open`, 1 for a credit and -1 for a
+    debit, so that its sum up to any height is the number of outputs unspent there. One scan gives both."""
+    credit = F.struct("txid", F.col("block_height").alias("block_height"), F.col("value_sats").alias("delta"), F.lit(1).alias("open"))
+    debit = F.struct(F.col("spending_txid").alias("txid"), F.col("spent_height").alias("block_height"), (-F.col("value_sats")).alias("delta"), F.lit(-1).alias("open"))
     held = marked.where(F.col("address").isNotNull())
     return held.select("address", F.explode(F.when(F.col("is_spent"), F.array(credit, debit)).otherwise(F.array(credit))).alias("d")).select("address", "d.*")
 
@@ -126,8 +137,10 @@ def balances(moves: DataFrame, counts: DataFrame | None = None) -> DataFrame:
 
 
 def with_counts(balances_: DataFrame, counts: DataFrame) -> DataFrame:
+    """Balances with the counts put in. An address without one keeps the count that it has, or gets 0 where balances have none."""
     c = counts.select(F.col("address").alias("c_address"), F.col("utxo_count").alias("c"))
-    return balances_.join(c, F.col("address") == F.col("c_address"), "left").select(*[F.col(x) for x in balances_.columns if x != "utxo_count"], F.coalesce("c", F.lit(0)).alias("utxo_count"))
+    old = F.col("utxo_count") if "utxo_count" in balances_.columns else F.lit(0)
+    return balances_.join(c, F.col("address") == F.col("c_address"), "left").select(*[F.col(x) for x in balances_.columns if x != "utxo_count"], F.coalesce(F.col("c"), old).alias("utxo_count"))
 
 
 def balances_of(outputs: DataFrame, inputs: DataFrame) -> DataFrame:
@@ -141,13 +154,20 @@ def height_deltas(moves: DataFrame) -> DataFrame:
     return by_height.groupBy("address").agg(F.sum("delta").alias("delta_sats"), F.sum("received").alias("received_sats"), F.sum("sent").alias("sent_sats"), F.count("*").alias("tx_delta"), F.min("block_height").alias("first_height"), F.max("block_height").alias("last_height"))
 
 
-def merge_balances(old: DataFrame, delta: DataFrame, counts: DataFrame) -> DataFrame:
-    """Old balances and those of a batch of new blocks: sums add, heights widen, unspent counts are replaced. A transaction lies in one block, so counts of
-    transactions of different blocks add too."""
+def fold_balances(parts: DataFrame) -> DataFrame:
+    """Partial balances of an address summed up, in any order and grouping: sums and counts add, heights widen."""
+    sums = ("balance_sats", "total_received_sats", "total_sent_sats", "tx_count", "utxo_count")
+    return parts.groupBy("address").agg(*[F.sum(c).alias(c) for c in sums], F.min("first_seen_height").alias("first_seen_height"), F.max("last_seen_height").alias("last_seen_height"))
+
+
+def merge_balances(old: DataFrame, delta: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """Old balances and those of a batch of new blocks: sums add, heights widen. A transaction lies in one block, so counts of transactions of different
+    blocks add too; so do unspent counts, unless `counts` replaces them."""
     cols = ["address", "balance_sats", "total_received_sats", "total_sent_sats", "tx_count", "first_seen_height", "last_seen_height"]
-    both = old.select(*cols).unionByName(delta.select(*cols))
-    sums = [F.sum(c).alias(c) for c in cols[1:5]]
-    return with_counts(both.groupBy("address").agg(*sums, F.min(cols[5]).alias(cols[5]), F.max(cols[6]).alias(cols[6])), counts)
+    if counts is None:
+        return fold_balances(old.unionByName(delta))
+    merged = fold_balances(old.select(*cols, F.lit(0).alias("utxo_count")).unionByName(delta.select(*cols, F.lit(0).alias("utxo_count"))))
+    return with_counts(merged.select(*cols), counts)
 
 
 def insert_ignore(old: DataFrame, new: DataFrame, key: tuple[str, ...] = HISTORY_KEY) -> DataFrame:

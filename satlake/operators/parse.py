@@ -1,6 +1,7 @@
 """Nested block JSON to typed tables.
 
-Input: height int, block string (JSON of one block). One narrow pass a table; nothing is shuffled, and Python runs nowhere.
+Input: height int, block string (JSON of one block). decoded() reads the JSON, project() makes the tables of it, each in one narrow pass; nothing is
+shuffled, and Python runs nowhere.
 A block that isn't JSON, has no list of transactions, or lacks a required hash is an error, as a batch that is committed in part would be worse.
 A `coinbase` key with a null value reads as absent.
 """
@@ -81,6 +82,10 @@ def receivers(d: DataFrame) -> DataFrame:
     return rows.select(address_of(F.col("o.scriptPubKey")).alias("address"), "block_height", "tx_index", "txid", F.lit(0).cast("smallint").alias("role"), F.coalesce(X.sats(F.col("o.value")), F.lit(0).cast("bigint")).alias("net_value_sats"), "block_time").where("address is not null")
 
 
-def tables(raw: DataFrame) -> dict[str, DataFrame]:
-    d = decoded(raw)
+def project(d: DataFrame) -> dict[str, DataFrame]:
+    """The fact tables of decoded blocks. Where those lie in Parquet, each table reads the nested columns it needs."""
     return {"blocks": blocks(d), "transactions": transactions(d), "tx_outputs": outputs(d).drop("tx_index"), "tx_inputs": inputs(d)}
+
+
+def tables(raw: DataFrame) -> dict[str, DataFrame]:
+    return project(decoded(raw))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from satlake.operators.derive import until_next
+from satlake.operators.lineage import cut
+
 
 def one_hop(spent: DataFrame, txids: DataFrame) -> DataFrame:
     """Distinct transactions that spend outputs of the given ones (column txid)."""
@@ -25,26 +26,20 @@ def spends_edges(outputs: DataFrame) -> DataFrame:
 
 def sends_edges(spent: DataFrame, outputs: DataFrame) -> DataFrame:
     """Address to the transaction that spends from it."""
-    o = outputs.where("address is not null").select(F.col("txid").alias("o_id"), F.col("vout_idx").alias("o_idx"), "address", "value_sats")
-    return spent.join(o, (F.col("prev_txid") == F.col("o_id")) & (F.col("prev_vout") == F.col("o_idx"))).groupBy(F.col("address").alias("src"), F.col("spending_txid").alias("dst")).agg(F.sum("value_sats").alias("value_sats"))
-
-
-def _cut(df: DataFrame) -> DataFrame:
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="satlake-"))
-    return df.checkpoint()
+    o = until_next(outputs).where("address is not null").select(F.col("txid").alias("o_id"), F.col("vout_idx").alias("o_idx"), F.col("block_height").alias("o_height"), "until", "address", "value_sats")
+    mine = (F.col("o_height") <= F.col("spent_height")) & (F.col("until").isNull() | (F.col("spent_height") < F.col("until")))
+    return spent.join(o, (F.col("prev_txid") == F.col("o_id")) & (F.col("prev_vout") == F.col("o_idx")) & mine).groupBy(F.col("address").alias("src"), F.col("spending_txid").alias("dst")).agg(F.sum("value_sats").alias("value_sats"))
 
 
 def descendants(spent: DataFrame, txids: DataFrame, depth: int = 10) -> DataFrame:
     """txid, depth: all transactions reached in up to `depth` steps, each at its least depth. Breadth first; what has been seen is left out of
     the next step, so paths that meet again don't multiply."""
-    e = _cut(edges(spent))  # every step reads it
-    seen = _cut(txids.select("txid").distinct().select("txid", F.lit(0).alias("depth")))
+    e = cut(edges(spent))  # every step reads it
+    seen = cut(txids.select("txid").distinct().select("txid", F.lit(0).alias("depth")))
     last = seen
     for d in range(1, depth + 1):
         step = e.join(last.select(F.col("txid").alias("src")), "src", "left_semi").select(F.col("dst").alias("txid")).distinct()
-        last = _cut(step.join(seen, "txid", "left_anti").select("txid", F.lit(d).alias("depth")))
+        last = cut(step.join(seen, "txid", "left_anti").select("txid", F.lit(d).alias("depth")))
         if last.isEmpty():
             break
         seen = seen.unionByName(last)

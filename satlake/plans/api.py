@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from satlake.functions.exprs import direction_name, direction_role, role_name, script_name
+from satlake.functions.exprs import direction_name, direction_role, negative, positive, role_name, script_name
+from satlake.operators.derive import until_next
 
 STATS = ("tx_count", "first_seen_height", "last_seen_height", "total_received_sats", "total_sent_sats")
 
@@ -36,6 +37,13 @@ def info_cached(balances: DataFrame, marked: DataFrame, who: DataFrame) -> DataF
     return b.join(s, F.col("address") == F.col("a"), "left").select("address", "balance_sats", "utxo_count", *[F.coalesce(f"s_{c}", c).alias(c) for c in STATS])
 
 
+def info_of_history(balances: DataFrame, history: DataFrame) -> DataFrame:
+    """What info_cached gives, from history rows instead of outputs: both are clustered by address, so a lookup reads a few row groups."""
+    moves = history.select("address", "txid", "block_height", positive(F.col("net_value_sats")).alias("received"), negative(F.col("net_value_sats")).alias("sent"))
+    s = stats(moves).select(F.col("address").alias("a"), *[F.col(c).alias(f"s_{c}") for c in STATS])
+    return balances.join(s, F.col("address") == F.col("a"), "left").select("address", "balance_sats", "utxo_count", *[F.coalesce(f"s_{c}", c).alias(c) for c in STATS])
+
+
 def info_computed(utxo: DataFrame, marked: DataFrame, who: DataFrame) -> DataFrame:
     """Without a stored row: balance and count from the unspent outputs, the rest from outputs and spends as a set, in which equal rows
     of one transaction collapse. An address without either gives no row."""
@@ -84,10 +92,12 @@ def header(transactions: DataFrame, blocks: DataFrame, txids: DataFrame) -> Data
 
 
 def inputs_of(inputs: DataFrame, outputs: DataFrame, txids: DataFrame) -> DataFrame:
-    """Inputs with the value and address they spend; a coinbase input has value 0."""
-    i = inputs.join(txids.select("txid"), "txid", "left_semi").select("txid", "vin_idx", "prev_txid", "prev_vout", "sequence_no")
-    o = outputs.select(F.col("txid").alias("o_id"), F.col("vout_idx").alias("o_idx"), "value_sats", "address")
-    found = i.join(o, (F.col("prev_txid") == F.col("o_id")) & (F.col("prev_vout") == F.col("o_idx")), "left")
+    """Inputs with the value and address they spend; a coinbase input has value 0. Of an outpoint that occurs at several heights, the latest not after
+    the input counts, so an input stays one row."""
+    i = inputs.join(txids.select("txid"), "txid", "left_semi").select("txid", "vin_idx", F.col("block_height").alias("i_height"), "prev_txid", "prev_vout", "sequence_no")
+    o = until_next(outputs.select("txid", "vout_idx", "block_height", "value_sats", "address")).withColumnsRenamed({"txid": "o_id", "vout_idx": "o_idx", "block_height": "o_height"})
+    mine = (F.col("o_height") <= F.col("i_height")) & (F.col("until").isNull() | (F.col("i_height") < F.col("until")))
+    found = i.join(o, (F.col("prev_txid") == F.col("o_id")) & (F.col("prev_vout") == F.col("o_idx")) & mine, "left")
     return found.select("txid", "vin_idx", "prev_txid", "prev_vout", "sequence_no", F.coalesce("value_sats", F.lit(0)).alias("value_sats"), "address")
 
 

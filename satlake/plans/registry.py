@@ -55,11 +55,11 @@ def balances_backfill(g: Ledger) -> DataFrame:
 
 @query(sql(f"SELECT {BALANCE} FROM balances", "balances"))
 def balances_incremental(g: Ledger) -> DataFrame:
-    """Balances of the lower half of the blocks, then those of the upper half merged in."""
+    """Balances of the lower half of the blocks, then those of the upper half merged in, unspent counts by their changes."""
     h = middle(g)
     moves = derive.deltas(g.marked)
     old, new = (derive.balances(moves.where(c)) for c in (F.col("block_height") <= h, F.col("block_height") > h))
-    return derive.merge_balances(old, new, derive.utxo_counts(g.utxo))
+    return derive.merge_balances(old, new)
 
 
 @query(
@@ -98,10 +98,10 @@ def utxo_counts(g: Ledger) -> DataFrame:
     return derive.utxo_counts(g.utxo)
 
 
-@query(sql("SELECT s.address, s.balance_sats, coalesce(u.utxo_count, 0) AS utxo_count FROM sums s LEFT JOIN (SELECT address, count(*) AS utxo_count FROM utxo WHERE value_sats > 20000000 GROUP BY 1) u ON u.address = s.address", "sums", "utxo"))
+@query(sql("SELECT b.address, b.balance_sats, coalesce(u.utxo_count, b.utxo_count) AS utxo_count FROM balances b LEFT JOIN (SELECT address, count(*) AS utxo_count FROM utxo WHERE value_sats >= 50000000 AND script_type = 5 GROUP BY 1) u ON u.address = b.address", "balances", "utxo"))
 def utxo_counts_update(g: Ledger) -> DataFrame:
-    """Counts of the larger unspent outputs put into balances; an address without any gets 0."""
-    counts = derive.utxo_counts(g.utxo.where("value_sats > 20000000"))
+    """Counts of some unspent outputs put into balances; an address without any keeps the count that it has."""
+    counts = derive.utxo_counts(g.utxo.where("value_sats >= 50000000 and script_type = 5"))
     return derive.with_counts(derive.balances(derive.deltas(g.marked)), counts).select("address", "balance_sats", "utxo_count")
 
 

@@ -5,8 +5,9 @@
     spark.readStream.format("rpc_blocks").options(url=..., start=0, batch=100, confirmations=10).load()
 
 Rows: height int, block string (verbosity 2). Heights are dealt over partitions, so executors fetch in parallel. A stream's batches end at the tip less
-`confirmations` at most and have `batch` heights at most; a batch without heights is an empty one. Offsets are in Spark's checkpoint, so a
-failed batch is read again and a restart goes on where it ended. Instead of a node, `url` may be `file:` and a folder with `<height>.json` files and
+`confirmations` at most and have `batch` heights at most; a batch without heights is an empty one. The tip is asked for at most every `tip_seconds` (5); if the
+node then doesn't answer, the stream goes on up to the tip it knows and asks again after `wait_seconds` (15). Offsets are in Spark's checkpoint, so a
+failed batch is read again and a restart goes on where it ended. The user and password may stand in the URL. Instead of a node, `url` may be `file:` and a folder with `<height>.json` files and
 `tip` (a number), for tests and archives.
 """
 
@@ -19,6 +20,7 @@ import time
 import urllib.error
 import urllib.request
 from collections.abc import Iterator
+from urllib.parse import unquote, urlsplit, urlunsplit
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
@@ -32,6 +34,10 @@ class RpcError(RuntimeError):
 
 class Client:
     def __init__(self, url: str, user: str = "", password: str = "", attempts: int = ATTEMPTS, wait: float = 1.0):
+        parts = urlsplit(url)
+        if parts.username is not None:
+            user, password = user or unquote(parts.username), password or unquote(parts.password or "")
+            url = urlunsplit(parts._replace(netloc=parts.netloc.rpartition("@")[2]))
         self.url, self.attempts, self.wait = url, attempts, wait
         self.auth = "Basic " + base64.b64encode(f"{user}:{password}".encode()).decode() if user or password else None
 
@@ -67,6 +73,7 @@ class Client:
         return self.call("getblockchaininfo")
 
     def tip(self) -> int:
+        """The highest block that the node has validated."""
         return int(self.chain()["blocks"])
 
 
@@ -92,6 +99,8 @@ class FileClient:
         with open(os.path.join(self.folder, "tip")) as f:
             return int(f.read())
 
+    block_count = tip
+
 
 def client(options) -> Client | FileClient:
     url = options["url"]
@@ -137,9 +146,24 @@ class RpcReader(_Fetch, DataSourceReader):
 class RpcStream(_Fetch, DataSourceStreamReader):
     """Offsets {"next": the first height not read yet}."""
 
-    def __init__(self, options):
+    def __init__(self, options, clock=time.monotonic):
         super().__init__(options)
         self.next = None
+        self.clock = clock
+        self.tip, self.ask_at = None, 0.0
+
+    def known_tip(self) -> int:
+        """The node's tip, asked for no more often than the options say. The first answer must come; later the last one holds while the node is silent."""
+        if self.tip is None or self.clock() >= self.ask_at:
+            wait = float(self.options.get("tip_seconds", "5"))
+            try:
+                self.tip = client(self.options).tip()
+            except (OSError, RpcError, ValueError):
+                if self.tip is None:
+                    raise
+                wait = float(self.options.get("wait_seconds", "15"))
+            self.ask_at = self.clock() + wait
+        return self.tip
 
     def initialOffset(self) -> dict:  # noqa: N802
         return {"next": int(self.options.get("start", "0"))}
@@ -148,7 +172,7 @@ class RpcStream(_Fetch, DataSourceStreamReader):
         """At most `batch` heights beyond the last offset given out, and none beyond the safe tip."""
         if self.next is None:
             self.next = self.initialOffset()["next"]
-        end = safe_tip(client(self.options).tip(), int(self.options.get("confirmations", "10"))) + 1
+        end = safe_tip(self.known_tip(), int(self.options.get("confirmations", "10"))) + 1
         self.next = max(self.next, min(self.next + int(self.options.get("batch", "100")), end))
         return {"next": self.next}
 

@@ -1,22 +1,91 @@
-"""A versioned store of Parquet tables with one manifest.
+"""A versioned store of Parquet tables, each a list of folders that a manifest names.
 
-Facts are appended by partition of height (`height_bucket`), each batch in a folder of its own; derived tables are snapshots, a folder for each version.
-Nothing is visible until the manifest names it: the manifest is written beside and renamed over the old one, which Hadoop file systems do in one
-step, so facts, snapshots and checkpoint of a batch appear together or not at all. A replayed batch is found in the manifest by its
-id and skipped, so each takes effect once. Older snapshots stay until vacuum(), so rolling back is naming an older manifest.
+Every table only grows: a batch adds a folder to the facts (partitioned by `height_bucket`) and one to each derived log. A derived log holds changes, which fold() sums up in any order
+and grouping: outputs that open (+1) or close (-1), parts of balances, history rows. So a batch writes what it changes, however much is there; a read folds a few folders.
+Folders are merged as they gather, FAN of one level into one of the next, so a row is rewritten once a level.
+
+Nothing is visible until a manifest names it. Manifests are numbered files; a new one is renamed into place without overwriting, which Hadoop file systems do in one step,
+so a batch's facts and changes appear together or not at all, and of two writers that start from one version the second gets a Conflict. Heights that are in are listed
+as ranges, for good: a replay is known by its heights, whatever stream or checkpoint it comes from. Older versions stay until vacuum().
+
+Lookups: files are sorted by their key (facts by height) and have Bloom filters on ids and addresses, so a literal filter on one reads the few row groups that may hold it.
 """
 
 from __future__ import annotations
 
+import contextlib
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from satlake.operators import derive
+
+FACTS = {"blocks": ("hash",), "transactions": ("txid",), "tx_outputs": ("txid", "address"), "tx_inputs": ("txid", "prev_txid")}
+LOGS = {"outputs_open": ("txid", "address"), "address_balances": ("address",), "address_transactions": ("address",)}
+KEYS = {"outputs_open": ("txid", "vout_idx"), "address_balances": ("address",), "address_transactions": ("address", "block_height")}
+STEPS = ("spend", "receivers", "senders", "balances", "utxo_counts")
+FAN = 16
+
+Ranges = list[list[int]]  # [first, last], both inclusive, in order and apart
+
+
+class Conflict(RuntimeError):
+    """Another writer has committed since the version that this commit started from."""
+
+
+def joined(ranges: Ranges, more: Ranges) -> Ranges:
+    out: Ranges = []
+    for a, b in sorted([*map(list, ranges), *map(list, more)]):
+        if out and a <= out[-1][1] + 1:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return out
+
+
+def common(ranges: Ranges, other: Ranges) -> Ranges:
+    return [[max(a, c), min(b, d)] for a, b in ranges for c, d in other if max(a, c) <= min(b, d)]
+
+
+def without(ranges: Ranges, other: Ranges) -> Ranges:
+    out = [list(r) for r in ranges]
+    for c, d in other:
+        out = [r for a, b in out for r in ([a, min(b, c - 1)], [max(a, d + 1), b]) if r[0] <= r[1]]
+    return out
 
-from pyspark.sql import DataFrame, SparkSession
 
-from satlake.operators.derive import with_bucket
+def runs_of(heights: DataFrame) -> Ranges:
+    """The ranges of a column of heights, each of which must occur once."""
+    n, distinct, low, high = heights.agg(F.count("*"), F.countDistinct("height"), F.min("height"), F.max("height")).first()
+    if n != distinct:
+        raise ValueError(f"{n - distinct} heights occur more than once")
+    if not n:
+        return []
+    if n == high - low + 1:
+        return [[low, high]]
+    run = F.col("height") - F.row_number().over(Window.orderBy("height"))
+    return joined([], [[r.a, r.b] for r in heights.groupBy(run.alias("run")).agg(F.min("height").alias("a"), F.max("height").alias("b")).collect()])
 
-FACTS = ("blocks", "transactions", "tx_outputs", "tx_inputs")
+
+def inside(ranges: Ranges, height: Column) -> Column:
+    out = F.lit(False)
+    for a, b in ranges:
+        out = out | height.between(a, b)
+    return out
+
+
+def fold(table: str, parts: DataFrame) -> DataFrame:
+    """The changes of a log summed up; also what merging folders does."""
+    if table == "outputs_open":
+        rest = [c for c in parts.columns if c != "change"]
+        return parts.groupBy(*rest).agg(F.sum("change").cast("int").alias("change")).where("change <> 0")
+    return derive.fold_balances(parts) if table == "address_balances" else parts
 
 
 class Store:
@@ -30,121 +99,178 @@ class Store:
 
     # ---- the manifest
 
+    def _list(self, folder: str) -> list[str]:
+        at = self._path(f"{self.root}/{folder}")
+        return [f.getPath().getName() for f in self._fs.listStatus(at)] if self._fs.exists(at) else []
+
     def manifest(self) -> dict:
-        p = self._path(f"{self.root}/MANIFEST.json")
-        if not self._fs.exists(p):
-            return {"version": 0, "last_height": None, "last_hash": None, "facts": {t: [] for t in FACTS}, "derived": {}, "batches": []}
-        stream = self._fs.open(p)
+        found = [n for n in self._list("manifest") if n.endswith(".json") and not n.startswith(".")]
+        if not found:
+            return {"version": 0, "last_height": None, "last_hash": None, "tables": {t: [] for t in (*FACTS, *LOGS)}, "ranges": [], "done": {s: [] for s in STEPS}, "batches": []}
+        stream = self._fs.open(self._path(f"{self.root}/manifest/{max(found)}"))
         try:
             return json.loads(bytes(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode())
         finally:
             stream.close()
 
-    def _flip(self, manifest: dict) -> None:
-        new, now = self._path(f"{self.root}/.MANIFEST-{uuid.uuid4().hex}"), self._path(f"{self.root}/MANIFEST.json")
+    def _publish(self, m: dict) -> None:
+        """Make m the next version, if nobody has made one since."""
+        m["version"] += 1
+        new, at = self._path(f"{self.root}/manifest/.{uuid.uuid4().hex}"), self._path(f"{self.root}/manifest/{m['version']:012d}.json")
         out = self._fs.create(new, True)
-        out.write(bytearray(json.dumps(manifest).encode()))
+        out.write(bytearray(json.dumps(m).encode()))
         out.close()
-        context = self.spark.sparkContext._jvm.org.apache.hadoop.fs.FileContext.getFileContext(now.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
-        gateway = self.spark.sparkContext._gateway
-        option = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename
-        options = gateway.new_array(option, 1)
-        options[0] = option.OVERWRITE
-        context.rename(self._fs.makeQualified(new), self._fs.makeQualified(now), options)
+        context = self.spark.sparkContext._jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+        none = self.spark.sparkContext._gateway.new_array(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        try:
+            context.rename(self._fs.makeQualified(new), self._fs.makeQualified(at), none)
+        except Exception as e:
+            if isinstance(e, PySparkException) or "FileAlreadyExists" in str(e):
+                self._fs.delete(new, False)
+                raise Conflict(f"version {m['version']} has been committed by another writer") from e
+            raise
 
     # ---- reading
 
-    def _read(self, table: str, folders: list[str]) -> DataFrame:
-        """One scan of some batches; their number is a partition column that is dropped."""
-        return self.spark.read.option("basePath", f"{self.root}/facts/{table}").parquet(*[f"{self.root}/{x}" for x in folders]).drop("batch")
+    def _read(self, table: str, parts: list[dict]) -> DataFrame | None:
+        """One scan of some folders; their names are a partition column that is dropped."""
+        if not parts:
+            return None
+        return self.spark.read.option("basePath", f"{self.root}/{table}").parquet(*[f"{self.root}/{p['at']}" for p in parts]).drop("batch")
 
     def facts(self, table: str) -> DataFrame | None:
-        parts = self.manifest()["facts"][table]
-        return self._read(table, parts) if parts else None
+        return self._read(table, self.manifest()["tables"][table])
+
+    def log(self, table: str) -> DataFrame | None:
+        """The changes of a derived table, not folded."""
+        return self._read(table, self.manifest()["tables"][table])
 
     def derived(self, table: str) -> DataFrame | None:
-        at = self.manifest()["derived"].get(table)
-        return self.spark.read.parquet(f"{self.root}/{at}") if at else None
+        """A derived table as of the last commit; `utxo_set` is `outputs_open` with an address. None if nothing is derived."""
+        if table == "utxo_set":
+            whole = self.derived("outputs_open")
+            return None if whole is None else whole.where("address is not null")
+        parts = self.manifest()["tables"][table]
+        df = self._read(table, parts)
+        if df is None:
+            return None
+        df = fold(table, df) if len(parts) > 1 else df
+        return df.where("change > 0").drop("change") if table == "outputs_open" else df
 
-    def last_height(self) -> int:
-        """The checkpoint, or else the highest block; -1 if there is none."""
+    def whole(self, *steps: str) -> bool:
+        """Whether these steps have been derived for all heights that are in."""
         m = self.manifest()
-        if m["last_height"] is not None:
-            return m["last_height"]
-        b = self.facts("blocks")
-        top = b.agg({"height": "max"}).first()[0] if b is not None else None
-        return -1 if top is None else top
+        return bool(m["ranges"]) and not any(without(m["ranges"], m["done"][s]) for s in steps)
+
+    def last_height(self) -> int:
+        """The highest block; -1 if there is none."""
+        h = self.manifest()["last_height"]
+        return -1 if h is None else h
 
     # ---- writing
 
     def _write(self, table: str, df: DataFrame, at: str) -> None:
-        if table == "blocks":
-            df.sortWithinPartitions("height").write.mode("errorifexists").parquet(f"{self.root}/{at}")
-        else:
-            df.sortWithinPartitions("height_bucket", "block_height").write.mode("errorifexists").partitionBy("height_bucket").parquet(f"{self.root}/{at}")
+        keys = KEYS.get(table) or (("height",) if table == "blocks" else ("height_bucket", "block_height"))
+        w = df.sortWithinPartitions(*keys).write.mode("errorifexists").option("parquet.bloom.filter.adaptive.enabled", "true")
+        for c in FACTS.get(table) or LOGS[table]:
+            w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+        (w.partitionBy("height_bucket") if "height_bucket" in df.columns else w).parquet(f"{self.root}/{at}")
+
+    def _add(self, m: dict, tables: list[tuple[str, DataFrame]], tag: str) -> None:
+        """Write folders, side by side as they don't depend on each other, and list them in m."""
+        ats = [f"{t}/batch={tag}-{i}" for i, (t, _) in enumerate(tables)]
+        with ThreadPoolExecutor(len(tables) or 1) as pool:
+            list(pool.map(lambda x: self._write(x[0][0], x[0][1], x[1]), zip(tables, ats, strict=True)))
+        for (t, _), at in zip(tables, ats, strict=True):
+            m["tables"][t] = [*m["tables"][t], {"at": at, "level": 0}]
+
+    def _tag(self, m: dict) -> str:
+        return f"{m['version'] + 1:010d}-{uuid.uuid4().hex[:8]}"
+
+    @contextlib.contextmanager
+    def staging(self) -> Iterator[Callable[[DataFrame], DataFrame]]:
+        """A function that writes a DataFrame and reads it back, so that what follows doesn't compute it again. The files go at the end."""
+        folder = f"{self.root}/staging/{uuid.uuid4().hex}"
+
+        def stage(df: DataFrame) -> DataFrame:
+            at = f"{folder}/{uuid.uuid4().hex}"
+            df.write.parquet(at)
+            return self.spark.read.schema(df.schema).parquet(at)
 
-    def commit(self, batch: str, facts: dict[str, DataFrame], derive: Callable[[dict[str, DataFrame]], dict[str, DataFrame]] | None = None) -> bool:
-        """Append one batch's facts and write the snapshots that `derive` makes of them. False if the batch is in already.
-        A block height that is in the store already is an error, as a primary key would make it."""
+        try:
+            yield stage
+        finally:
+            self._fs.delete(self._path(folder), True)
+
+    def commit(self, facts: dict[str, DataFrame], heights: Ranges, batch: str | None = None, changes: Callable[[dict[str, DataFrame]], list[tuple[str, DataFrame]]] | None = None) -> bool:
+        """Append a batch's facts and the changes that `changes` makes of them, for all steps. False if a batch of this name is in already.
+        A height that is in already is an error, as a primary key would make it."""
         m = self.manifest()
-        if batch in m["batches"]:
+        if batch is not None and batch in m["batches"]:
             return False
-        tag = f"{m['version'] + 1:010d}-{uuid.uuid4().hex[:8]}"
-        for t in FACTS:
-            at = f"facts/{t}/batch={tag}"
-            self._write(t, facts[t] if t == "blocks" else with_bucket(facts[t], self.width), at)
-            m["facts"][t] = [*m["facts"][t], at]
-        staged = {t: self._read(t, [m["facts"][t][-1]]) for t in FACTS}
-        own = staged["blocks"]
-        old = self.facts("blocks")
-        if own.groupBy("height").count().where("count > 1").head(1) or old is not None and own.join(old.select("height"), "height", "left_semi").head(1):
-            raise ValueError(f"batch {batch}: a block of these heights is in the store already")
-        for t, df in (derive(staged) if derive else {}).items():
-            at = f"derived/{t}/{tag}"
-            df.write.mode("errorifexists").parquet(f"{self.root}/{at}")
-            m["derived"][t] = at
-        top = own.selectExpr("max(height) h", "max_by(hash, height) x").first()
-        if top.h is not None and (m["last_height"] is None or top.h >= m["last_height"]):
-            m["last_height"], m["last_hash"] = top.h, top.x.hex() if isinstance(top.x, bytes | bytearray) else top.x
-        m["version"] += 1
-        m["batches"] = [*m["batches"], batch][-1000:]
-        self._flip(m)
+        if again := common(m["ranges"], heights):
+            raise ValueError(f"heights {again} are in the store already")
+        tag = self._tag(m)
+        self._add(m, [(t, facts[t] if t == "blocks" else derive.with_bucket(facts[t], self.width)) for t in FACTS], tag)
+        staged = {t: self._read(t, m["tables"][t][-1:]) for t in FACTS}
+        if changes:
+            self._add(m, changes(staged), f"{tag}-c")
+            m["done"] = {s: joined(m["done"][s], heights) for s in STEPS}
+        top = staged["blocks"].selectExpr("max(height) h", "lower(hex(max_by(hash, height))) x").first()
+        if m["last_height"] is None or top.h >= m["last_height"]:
+            m["last_height"], m["last_hash"] = top.h, top.x
+        m["ranges"] = joined(m["ranges"], heights)
+        m["batches"] = [*m["batches"], *([batch] if batch is not None else [])]
+        self._publish(m)
         return True
 
-    def replace(self, tables: dict[str, DataFrame]) -> None:
-        """Write new snapshots and name them all at once."""
-        m = self.manifest()
-        tag = f"{m['version'] + 1:010d}-{uuid.uuid4().hex[:8]}"
-        for t, df in tables.items():
-            df.write.mode("errorifexists").parquet(f"{self.root}/derived/{t}/{tag}")
-            m["derived"][t] = f"derived/{t}/{tag}"
-        m["version"] += 1
-        self._flip(m)
+    def append(self, m: dict, changes: list[tuple[str, DataFrame]], done: dict[str, Ranges]) -> None:
+        """Add changes to the derived logs of version m, and what steps they complete."""
+        self._add(m, changes, self._tag(m))
+        m["done"] = {s: joined(m["done"][s], done.get(s, [])) for s in STEPS}
+        self._publish(m)
+
+    def _merge(self, m: dict, table: str, first: int, level: int) -> None:
+        """One folder in place of all from the given one on, its rows dealt by range of the key."""
+        df = self._read(table, m["tables"][table][first:])
+        df = fold(table, df) if table in LOGS else df
+        keys = KEYS.get(table) or (("height",) if table == "blocks" else ("height_bucket", "block_height"))
+        at = f"{table}/batch={self._tag(m)}-m{level}"
+        self._write(table, df.repartitionByRange(*keys), at)
+        m["tables"][table] = [*m["tables"][table][:first], {"at": at, "level": level}]
+
+    def tidy(self, fan: int = FAN) -> bool:
+        """Merge folders where `fan` of one level have gathered at a table's end."""
+        m, merged = self.manifest(), False
+        for t in m["tables"]:
+            while parts := m["tables"][t]:
+                first = len(parts)
+                while first and parts[first - 1]["level"] == parts[-1]["level"]:
+                    first -= 1
+                if len(parts) - first < fan:
+                    break
+                self._merge(m, t, first, parts[-1]["level"] + 1)
+                merged = True
+        if merged:
+            self._publish(m)
+        return merged
 
     def compact(self) -> None:
-        """Facts of all batches rewritten into one folder a table, sorted by height within its partitions for good min-max statistics."""
+        """Each table merged into one folder, in files of disjoint key ranges: what rebuilding indexes after a bulk load does."""
         m = self.manifest()
-        tag = f"{m['version'] + 1:010d}-{uuid.uuid4().hex[:8]}"
-        for t in FACTS:
-            if (df := self.facts(t)) is None:
-                continue
-            at = f"facts/{t}/batch={tag}"
-            self._write(t, df.repartitionByRange(*(["height"] if t == "blocks" else ["height_bucket", "block_height"])), at)
-            m["facts"][t] = [at]
-        m["version"] += 1
-        self._flip(m)
+        for t, parts in list(m["tables"].items()):
+            if parts:
+                self._merge(m, t, 0, 1 + max(p["level"] for p in parts))
+        self._publish(m)
 
     def vacuum(self) -> int:
-        """Delete folders that the manifest doesn't name. Not while another job reads an older version."""
+        """Delete older manifests, staged files and folders that the manifest doesn't name. Not while another job reads an older version or writes."""
         m = self.manifest()
-        named = {x for parts in m["facts"].values() for x in parts} | set(m["derived"].values())
+        named = {p["at"] for parts in m["tables"].values() for p in parts} | {f"manifest/{m['version']:012d}.json"}
         gone = 0
-        for kind in ("facts", "derived"):
-            top = self._path(f"{self.root}/{kind}")
-            for t in self._fs.listStatus(top) if self._fs.exists(top) else []:
-                for v in self._fs.listStatus(t.getPath()):
-                    name = f"{kind}/{t.getPath().getName()}/{v.getPath().getName()}"
-                    if name not in named:
-                        self._fs.delete(v.getPath(), True)
-                        gone += 1
+        for top in (*FACTS, *LOGS, "manifest", "staging"):
+            for name in self._list(top):
+                if f"{top}/{name}" not in named:
+                    self._fs.delete(self._path(f"{self.root}/{top}/{name}"), True)
+                    gone += 1
         return gone
