@@ -1,6 +1,6 @@
 """Personal data by a skip-chain conditional random field.
 
-Tokens (what white space separates) that hold a digit or `@`, and two tokens at either side (within 64 characters), are variables with a label each: none, email, ip,
+Tokens (what white space separates) that hold a digit or `@`, and the two tokens at either side of each, are variables with a label each: none, email, ip,
 card or phone. Neighbours are tied by a chain. Tokens of the same text that the chain doesn't tie are tied by skip edges, in one segment or in two: each to the next
 that is equal, or else to the next of equal shape and beginning, so a label that one place makes certain carries over to the others.
 Loopy sum-product message passing over both kinds of edges, until messages settle, gives each token's marginals. Every other token is taken as observed to be none.
@@ -33,8 +33,6 @@ from satlake.llm.common import put, small_batches, text_udf
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 
-RUN = r"[A-Za-z0-9._%+@-]"
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
@@ -47,21 +45,23 @@ def luhn(digits: str) -> bool:
 
 
 def _emails(text: str) -> list[tuple[int, int]]:
-    """A match lies within a run of the characters that it may hold, so only runs around an `@` are searched, once each."""
+    """From each `@` on: the name reaches back to the last character that can't be in one, the last match or the last `@`; the host is read once ahead. No character
+    is read more than twice, whatever the runs are."""
     found, done, at = [], 0, text.find("@")
     while at >= 0:
         begin = at
-        while begin > done and text[begin - 1] in _IN_RUN:
+        while begin > done and text[begin - 1] in _IN_NAME:
             begin -= 1
-        end = _TO_RUN_END.match(text, at).end()
-        found += [m.span() for m in _EMAIL_FAST.finditer(text, begin, end)]
-        done, at = end, text.find("@", end)
+        host = _HOST.match(text, at + 1) if begin < at else None
+        if host:
+            found.append((begin, host.end()))
+        done = host.end() if host else at + 1
+        at = text.find("@", done)
     return found
 
 
-_IN_RUN = frozenset(chr(i) for i in range(128) if re.match(RUN, chr(i)))
-_TO_RUN_END = re.compile(RUN + "*")
-#: No match begins right after a character that could have begun it earlier, unless a match has just ended there.
+_IN_NAME = frozenset(chr(i) for i in range(128) if re.match(r"[A-Za-z0-9._%+-]", chr(i)))
+_HOST = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _EMAIL_FAST = re.compile(r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 
 
@@ -84,7 +84,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 TRIGGER = re.compile(r"[0-9@]+")
 WORD = re.compile(r"\S+")
 EDGE = ".,;:!?\"'()[]{}<>|*#$%&="
-SIDE, REACH = 2, 64  # tokens at either side; characters looked through for them
+SIDE = 2  # tokens at either side
 
 #: Words that tell of a kind, as features of the tokens near them.
 CUES = (
@@ -99,29 +99,47 @@ SETTLED = 1e-5  # a message that changes by less isn't passed on
 
 
 def tokens(text: str) -> list[list[tuple[int, int]]]:
-    """Segments of adjacent tokens (start, end): each token with a trigger, and at either side up to two tokens that lie
-    wholly within REACH characters; longer neighbours are no variables."""
-    found: set[tuple[int, int]] = set()
-    end = 0
+    """Segments of adjacent tokens (start, end): each token with a trigger, and two tokens at either side, whatever their lengths."""
+    found: list[tuple[int, int]] = []  # in order and distinct
+    end = 0  # of the last token with a trigger
+
+    def before(at: int, floor: int) -> tuple[int, int] | None:
+        """The last token that ends before `at` and begins at `floor` or later."""
+        while at > floor and text[at - 1].isspace():
+            at -= 1
+        stop = at
+        while at > floor and not text[at - 1].isspace():
+            at -= 1
+        return (at, stop) if at < stop else None
+
+    ahead: list[tuple[int, int]] = []  # the tokens after the last trigger's
     for m in TRIGGER.finditer(text):
         if m.start() < end:
             continue
         begin = m.start()
         while begin > end and not text[begin - 1].isspace():
             begin -= 1
+        floor = found[-1][1] if found else 0
+        for t in ahead:
+            if t[0] < begin:
+                found.append(t)
+                floor = t[1]
+        left: list[tuple[int, int]] = []
+        while len(left) < SIDE and (t := before(left[-1][0] if left else begin, floor)):
+            left.append(t)
+        found += left[::-1]
         end = WORD.match(text, begin).end()
-        found.add((begin, end))
-        low, high = max(0, begin - REACH), min(len(text), end + REACH)
-        left = [(x.start() + low, x.end() + low) for x in WORD.finditer(text[low:begin])]
-        if left and left[0][0] == low > 0 and not text[low - 1].isspace():
-            left = left[1:]
-        right = [(x.start() + end, x.end() + end) for x in WORD.finditer(text[end:high])]
-        if right and right[-1][1] == high < len(text) and not text[high].isspace():
-            right = right[:-1]
-        found.update(left[-SIDE:] + right[:SIDE])
+        found.append((begin, end))
+        ahead, at = [], end
+        while len(ahead) < SIDE and (w := WORD.search(text, at)):
+            ahead.append(w.span())
+            at = w.end()
+            if TRIGGER.search(text, *w.span()):
+                break  # that token comes with its own neighbours
+    found += ahead
     out: list[list[tuple[int, int]]] = []
-    for span in sorted(found):
-        if out and not text[out[-1][-1][1] : span[0]].strip():
+    for span in found:
+        if out and text[out[-1][-1][1] : span[0]].isspace():
             out[-1].append(span)
         else:
             out.append([span])
@@ -387,6 +405,39 @@ def uncut(run: list[tuple[int, int]], base: list[tuple[int, int]], fits: Callabl
     return out
 
 
+def label_runs(model: tuple[np.ndarray, ...], texts: list[str], sure: float) -> list[tuple[int, int, list[tuple[int, int]]]]:
+    """(number of the text, label, spans of adjacent tokens that the field gives this label, with marginals of `sure` and more)."""
+    spans, segment, owner, chain, equal, alike, rows = [], [], [], [], [], [], []
+    for i, t in enumerate(texts):
+        first, own = len(spans), []
+        for s, seg in enumerate(tokens(t)):
+            ws = [t[b:e] for b, e in seg]
+            chain += [(len(spans) + j, len(spans) + j + 1) for j in range(len(seg) - 1)]
+            rows.append(scores(ws, model[0]))
+            spans += seg
+            own += [(w, s) for w in ws]
+        owner += [i] * len(own)
+        e, a = skips([w for w, _ in own], [s for _, s in own])
+        equal += [(first + u, first + v) for u, v in e]
+        alike += [(first + u, first + v) for u, v in a]
+        segment += [(i, s) for _, s in own]
+    out: list[tuple[int, int, list[tuple[int, int]]]] = []
+    if not spans:
+        return out
+    edges = tuple(np.array(e, np.int64).reshape(-1, 2) for e in (chain, equal, alike))
+    p = marginals(np.concatenate(rows), edges, model, owner=np.array(owner))
+    label = np.where(p.max(axis=1) >= sure, p.argmax(axis=1), 0)
+    j = 0
+    while j < len(spans):
+        k, n = int(label[j]), j + 1
+        if k:
+            while n < len(spans) and segment[n] == segment[j] and label[n] == k:
+                n += 1
+            out.append((owner[j], k, spans[j:n]))
+        j = n
+    return out
+
+
 def _find(model: tuple[np.ndarray, ...], sure: float) -> Callable[[list[str]], list]:
     def alone(word: str) -> int:
         z = features([word])[0] @ model[0]
@@ -396,44 +447,36 @@ def _find(model: tuple[np.ndarray, ...], sure: float) -> Callable[[list[str]], l
     def find(texts: list[str]) -> list:
         out = [[(k, b, e, "base") for k, b, e in base_spans(t)] for t in texts]
         base = [_disjoint([(b, e) for _, b, e, _ in found]) for found in out]
-        spans, segment, owner, chain, equal, alike, rows = [], [], [], [], [], [], []
-        for i, t in enumerate(texts):
-            first, own = len(spans), []
-            for s, seg in enumerate(tokens(t)):
-                ws = [t[b:e] for b, e in seg]
-                chain += [(len(spans) + j, len(spans) + j + 1) for j in range(len(seg) - 1)]
-                rows.append(scores(ws, model[0]))
-                spans += seg
-                own += [(w, s) for w in ws]
-            owner += [i] * len(own)
-            e, a = skips([w for w, _ in own], [s for _, s in own])
-            equal += [(first + u, first + v) for u, v in e]
-            alike += [(first + u, first + v) for u, v in a]
-            segment += [(i, s) for _, s in own]
-        if spans:
-            edges = tuple(np.array(e, np.int64).reshape(-1, 2) for e in (chain, equal, alike))
-            p = marginals(np.concatenate(rows), edges, model, owner=np.array(owner))
-            label = np.where(p.max(axis=1) >= sure, p.argmax(axis=1), 0)
-            j = 0
-            while j < len(spans):
-                k, n = label[j], j + 1
-                if k:
-                    while n < len(spans) and segment[n] == segment[j] and label[n] == k:
-                        n += 1
-                    t = texts[owner[j]]
-                    for begin, end in uncut(spans[j:n], base[owner[j]], lambda b, e: bool(TRIGGER.search(t, b, e)) and alone(t[b:e]) == k):  # noqa: B023
-                        while begin < end and t[begin] in EDGE:
-                            begin += 1
-                        while begin < end and t[end - 1] in EDGE:
-                            end -= 1
-                        if TRIGGER.search(t, begin, end):
-                            out[owner[j]].append((int(k) - 1, begin, end, "field"))
-                j = n
+        for i, k, run in label_runs(model, texts, sure):
+            t = texts[i]
+            for begin, end in uncut(run, base[i], lambda b, e: bool(TRIGGER.search(t, b, e)) and alone(t[b:e]) == k):  # noqa: B023
+                while begin < end and t[begin] in EDGE:
+                    begin += 1
+                while begin < end and t[end - 1] in EDGE:
+                    end -= 1
+                if TRIGGER.search(t, begin, end):
+                    out[i].append((k - 1, begin, end, "field"))
         return [[{"kind": KINDS[k], "start": b, "end": e, "source": s} for k, b, e, s in sorted(found)] for found in out]
 
     return find
 
 
+def agreement(model: tuple[np.ndarray, ...], texts: list[str], sure: float = 0.9) -> tuple[int, int, int]:
+    """How well the field does by itself, held against the base rules, whose spans it doesn't see: (base spans that a run of the same label
+    touches, base spans, base spans that only runs of another label touch)."""
+    runs: dict[int, list[tuple[int, int, int]]] = {}
+    for i, k, run in label_runs(model, texts, sure):
+        runs.setdefault(i, []).append((run[0][0], run[-1][1], k - 1))
+    hit = total = wrong = 0
+    for i, t in enumerate(texts):
+        for kind, b, e in base_spans(t):
+            met = {k for x, y, k in runs.get(i, ()) if x < e and b < y}
+            total += 1
+            hit += kind in met
+            wrong += bool(met) and kind not in met
+    return hit, total, wrong
+
+
 SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("source", pa.string())]))
 
 

@@ -1,8 +1,10 @@
 import random
 import re
+import time
 from hashlib import sha256
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from satlake.llm import pii
@@ -33,12 +35,31 @@ def test_base_spans():
         assert pii.base_spans(t) == brute(t), t
 
 
+def _runs(numbers):
+    out = []
+    for n in numbers:
+        if out and out[-1][-1] == n - 1:
+            out[-1].append(n)
+        else:
+            out.append([n])
+    return out
+
+
 def test_tokens():
     t = "aa bb cc 11 dd ee ff gg hh ii 22 jj"
     assert [[t[a:b] for a, b in s] for s in pii.tokens(t)] == [["bb", "cc", "11", "dd", "ee"], ["hh", "ii", "22", "jj"]]
     assert [len(s) for s in pii.tokens("x1 " * 500)] == [500] and pii.tokens("no triggers") == []
     w = "1" + "x" * 100
-    assert pii.tokens("y" * 100 + " " + w + " " + "z" * 100) == [[(101, 202)]]
+    assert pii.tokens("y" * 100 + " " + w + " " + "z" * 100) == [[(0, 100), (101, 202), (203, 303)]]  # however long the neighbours are
+    assert pii.tokens("a " + "b" * 10_000 + " 1") == [[(0, 1), (2, 10_002), (10_003, 10_004)]]
+    r = random.Random(5)
+    for _ in range(2000):  # against all words at once
+        t = "".join(r.choice(["1", "a", "b@", " ", "\n ", "cc", " "]) for _ in range(r.randint(0, 30)))
+        words = [m.span() for m in re.finditer(r"\S+", t)]
+        hot = [i for i, (a, b) in enumerate(words) if re.search(r"[0-9@]", t[a:b])]
+        near = {j for i in hot for j in range(i - 2, i + 3) if 0 <= j < len(words)}
+        want = [[words[j] for j in run] for run in _runs(sorted(near))]
+        assert pii.tokens(t) == want, t
 
 
 def test_held_out(model):
@@ -150,6 +171,26 @@ def test_long_runs(model, text):
     pii._find(model, 0.9)([text])
 
 
+@pytest.mark.parametrize("text", ["a" * 200_000 + "@", "a." * 100_000 + "@", "a@b." + "a." * 100_000, "x" * 300_000 + " 1 " + "y" * 300_000, "a1" * 200_000, ("b" * 50_000 + " 7 ") * 6])
+def test_long_tokens_take_linear_time(model, text):
+    find = pii._find(model, 0.9)
+    began = time.perf_counter()
+    find([text])
+    assert time.perf_counter() - began < 1
+
+
+def test_differing_tails_have_differing_features():
+    for tail in ("1", "@b.org", ".5", "-1234"):
+        assert not np.array_equal(pii.features(["a" * 5000]), pii.features(["a" * 5000 + tail]))
+
+
+def test_field_recall_on_planted_entities(model, sf):
+    """What base rules find for sure is what documents have planted. The field alone, which doesn't see those spans, labels most of their characters."""
+    texts = [t for t in pq.read_table(f"{sf}/documents.parquet", columns=["text"]).column("text").to_pylist() if t]
+    hit, total, wrong = pii.agreement(model, texts)
+    assert total > 20 and hit / total >= 0.9 and wrong / max(hit, 1) < 0.05, (hit, total, wrong)
+
+
 @pytest.mark.parametrize("make", [odd_docs, no_docs])
 def test_odd_tables(spark, make):
     df = clashing(make(spark))
