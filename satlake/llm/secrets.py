@@ -1,12 +1,14 @@
 """Secret scans over a trigram inverted index, in DataFrame functions only (after Cox, "Regular Expression Matching with a Trigram Index").
 
-From each rule's regular expression follows a Boolean query over trigrams: an OR of branches, each an AND of trigrams that any match of
-the branch holds. The index maps each such trigram to the texts that hold it, in any case. A rule's candidates are the
-texts that lie in the postings of every trigram of one of its branches; only those are searched with the expression itself. A rule without
-mandatory trigrams searches every text.
+From each rule's regular expression follows a Boolean query over trigrams: an OR of branches, each an AND of trigrams that any match of the branch holds. The index has a list of
+postings for each trigram and block of texts. A branch's lists are intersected block by block; what is left are a rule's candidates, and only those are searched with the expression
+itself. A rule without mandatory trigrams searches every text.
 
-A text is known in the index by its MD5, so copies are indexed once. The postings of all texts meet only in counts of (text, branch), never
-trigram by trigram, so a trigram that a third of all texts hold is no hot key.
+A posting is a text's 64-bit hash, in any case of letters; copies have one posting, and texts of one hash are candidates together, which the search then tells apart. A block has about
+BLOCK texts, dealt by hash, so a list is bounded: a trigram that a third of all texts hold has many lists, not a long one. index() may hold all trigrams and be kept for rules to come;
+by default a scan makes one of the trigrams that its rules ask for.
+
+The candidates go to the texts: up to MOST_SENT of them, counted first, are broadcast, so that texts stay where they are; more meet the texts in a shuffle join.
 
 Spans are leftmost and without overlap within a kind, in code points, end exclusive. Null and empty texts have none. Repeated rows each
 have the same spans.
@@ -15,6 +17,7 @@ have the same spans.
 from __future__ import annotations
 
 import re
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -127,6 +130,10 @@ def trigram_query(pattern: str) -> Query:
     return frozenset(b for b in query if not any(o < b for o in query))  # a wider branch holds a narrower one's texts
 
 
+SPANS = "array<struct<start:int,kind:string,end:int>>"
+RUN = 256  # matches summed up at once: appending copies the list, so a text's spans are gathered by runs
+
+
 def _spans(text: Column, rule: Rule) -> Column:
     """array<struct<start, kind, end>> of one rule. The text is cut at the matches, and lengths are summed up."""
     p = F.lit(rule.sought)
@@ -134,49 +141,80 @@ def _spans(text: Column, rule: Rule) -> Column:
     counted = F.regexp_extract_all(text, p, F.lit(rule.group)) if rule.group else whole
     gaps = F.split(text, rule.sought, -1)
     sizes = F.zip_with(F.zip_with(gaps, whole, lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size"))), counted, lambda s, c: F.struct(s["gap"].alias("gap"), s["size"].alias("size"), F.length(c).alias("n")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,kind:string,end:int>>").alias("found"))
+    none = F.array().cast(SPANS)
 
     def step(acc: Column, s: Column) -> Column:
         begin, end = acc["at"] + s["gap"], acc["at"] + s["gap"] + F.coalesce(s["size"], F.lit(0))
         hit = s["size"].isNotNull() & (s["n"] >= rule.least)
         return F.struct(end.alias("at"), F.when(hit, F.array_append(acc["found"], F.struct(begin.alias("start"), F.lit(rule.kind).alias("kind"), end.alias("end")))).otherwise(acc["found"]).alias("found"))
 
-    none = F.array().cast("array<struct<start:int,kind:string,end:int>>")
-    return F.when(text.rlike(rule.sought), F.aggregate(sizes, start, step, lambda a: a["found"])).otherwise(none)
-
-
-def candidates(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """(text_md5, rules array<int>): for each text that some branch needs searched, the numbers of its rules."""
-    branches = [(i, b) for i, r in enumerate(rules) for b in sorted(trigram_query(r.pattern), key=sorted) if b]
-    grams = sorted({g for _, b in branches for g in b})
-    # all places of all trigrams in one pass, overlaps too: a look-ahead at each place, first characters told apart first
-    tails = {c: "|".join(re.escape(g[1:]) for g in grams if g[0] == c) for c in sorted({g[0] for g in grams})}
-    anywhere = "(?=(" + "|".join(f"{re.escape(c)}(?:{t})" for c, t in tails.items()) + "))"
-    held = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit(anywhere), F.lit(1)))
-    place = F.create_map(*[x for k, g in enumerate(grams) for x in (F.lit(g), F.lit(k))])
-    postings = df.where(F.col(text).isNotNull()).select(F.md5(F.col(text).cast("binary")).alias("text_md5"), F.explode(held).alias("g")).select("text_md5", F.element_at(place, F.col("g")).alias("gram"))
-    # the branches are few and fixed by the rules: one gram's branches as an array
-    of = F.array(*[F.array(*[F.lit(k) for k, (_, b) in enumerate(branches) if g in b]) for g in grams])
-    wanted = F.array(*[F.lit(len(b)) for _, b in branches])
-    rule_of = F.array(*[F.lit(i) for i, _ in branches])
-    asked = postings.select("text_md5", "gram", F.explode(F.get(of, F.col("gram"))).alias("branch"))
-    # one bit a trigram of a branch: the intersection of a branch's postings is where all bits are set
-    place = F.array(*[F.array(*[F.lit(1 << sorted(b).index(g) if g in b else 0) for g in grams]) for _, b in branches])
-    met = asked.groupBy("text_md5", "branch").agg(F.bit_or(F.get(F.get(place, F.col("branch")), F.col("gram"))).alias("bits"))
-    met = met.where(F.bit_count("bits") == F.get(wanted, F.col("branch")))
-    return met.groupBy("text_md5").agg(F.array_sort(F.collect_set(F.get(rule_of, F.col("branch")))).alias("rules"))
-
-
-def scan(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", out: str = "secrets") -> DataFrame:
-    """Add array<struct<start, kind, end>>, by start and then by the order of the rules."""
+    def run(acc: Column, part: Column) -> Column:
+        own = F.aggregate(part, F.struct(acc["at"].alias("at"), none.alias("found")), step)
+        # bound to a name, as a plain use would sum the run up twice
+        return F.transform(F.array(own), lambda x: F.struct(x["at"].alias("at"), F.array_append(acc["runs"], x["found"]).alias("runs")))[0]
+
+    runs = F.transform(F.array(sizes), lambda all_: F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / RUN).cast("int")), lambda i: F.slice(all_, i * RUN + 1, RUN)))[0]
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPANS}>").alias("runs"))
+    return F.when(text.rlike(rule.sought), F.aggregate(runs, start, run, lambda a: F.flatten(a["runs"]))).otherwise(none)
+
+
+BLOCK = 4096  # texts
+MOST_SENT = 1_000_000  # candidates that are broadcast: some 50 MB
+
+
+def branches_of(rules: tuple[Rule, ...]) -> list[tuple[int, frozenset]]:
+    """(number of the rule, trigrams) of all branches that have any."""
+    return [(i, b) for i, r in enumerate(rules) for b in sorted(trigram_query(r.pattern), key=sorted) if b]
+
+
+def index(df: DataFrame, grams: Collection[str] | None = None, text: str = "text") -> DataFrame:
+    """(gram, block, postings array<long>): the hashes of the texts that hold a trigram, in lower case, a list a block. grams: those to list; None: all."""
+    texts = df.where(F.col(text).isNotNull())
+    blocks = max(1, -(-texts.count() // BLOCK))
+    low = F.lower(F.col(text))
+    if grams is None:
+        held = F.array_distinct(F.regexp_extract_all(low, F.lit("(?s)(?=(...))"), F.lit(1)))
+    else:  # the text is bound to a name, so that it is put in lower case once
+        wanted = F.array(*[F.lit(g) for g in sorted(grams)]).cast("array<string>")
+        held = F.transform(F.array(low), lambda t: F.filter(wanted, lambda g: F.contains(t, g)))[0]
+    places = texts.select(F.xxhash64(text).alias("key"), F.explode(held).alias("gram"))
+    return places.groupBy("gram", F.pmod("key", F.lit(blocks)).cast("int").alias("block")).agg(F.array_sort(F.collect_set("key")).alias("postings"))
+
+
+def candidates(postings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(key, rules array<int>): for each text that some branch needs searched, the numbers of its rules. postings: as index() makes them."""
+    branches = branches_of(rules)
+    of: dict[str, list[int]] = {}
+    for k, (_, b) in enumerate(branches):
+        for g in b:
+            of.setdefault(g, []).append(k)
+    if not of:
+        return postings.select(F.lit(0).cast("bigint").alias("key"), F.array().cast("array<int>").alias("rules")).limit(0)
+    # the branches are few and fixed by the rules
+    asked = F.create_map(*[x for g, ks in sorted(of.items()) for x in (F.lit(g), F.array(*[F.lit(k) for k in ks]))])
+    lists = postings.where(F.col("gram").isin(sorted(of))).select("block", "postings", F.explode(F.element_at(asked, F.col("gram"))).alias("branch"))
+    sizes, rule = F.array(*[F.lit(len(b)) for _, b in branches]), F.array(*[F.lit(i) for i, _ in branches])
+    met = lists.groupBy("block", "branch").agg(F.collect_list("postings").alias("lists")).where(F.size("lists") == F.get(sizes, F.col("branch")))
+    # shortest lists first
+    ordered = met.select("branch", F.transform(F.array_sort(F.transform("lists", lambda x: F.struct(F.size(x).alias("n"), x.alias("x")))), lambda s: s["x"]).alias("lists"))
+    common = F.aggregate(F.slice("lists", 2, 1 << 30), F.col("lists")[0], lambda acc, x: F.array_intersect(acc, x))
+    found = ordered.select(F.get(rule, F.col("branch")).alias("rule"), F.explode(common).alias("key"))
+    return found.groupBy("key").agg(F.array_sort(F.collect_set("rule")).alias("rules"))
+
+
+def scan(df: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", out: str = "secrets", postings: DataFrame | None = None) -> DataFrame:
+    """Add array<struct<start, kind, end>>, by start and then by the order of the rules. postings: a kept index of all these texts that lists every trigram the rules ask for."""
     row, key, found = "__row", "__key", "__rules"
     base = df.select(F.struct("*").alias(row))
     plain = F.coalesce(F.col(f"{row}.`{text}`"), F.lit(""))
-    # written first: both sides of the join are then plain exchanges, and a text that a third of all rows have can be split
-    index = reliable(candidates(df, rules, text)).select(F.col("text_md5").alias("__md5"), F.col("rules").alias(found))
+    if postings is None:
+        postings = index(df, {g for _, b in branches_of(rules) for g in b}, text)
+    # written first: they are counted, and both sides of a shuffle join are then plain exchanges, so that a text that a third of all rows have can be split
+    chosen = reliable(candidates(postings, rules)).select(F.col("key").alias("__found"), F.col("rules").alias(found))
+    chosen = F.broadcast(chosen) if chosen.count() <= MOST_SENT else chosen
     full = [i for i, r in enumerate(rules) if trigram_query(r.pattern) == ALWAYS]
-    asked = base.withColumn(key, F.md5(plain.cast("binary"))).join(index, F.col(key) == F.col("__md5"), "left")
-    none = F.array().cast("array<struct<start:int,kind:string,end:int>>")
+    asked = base.withColumn(key, F.xxhash64(F.col(f"{row}.`{text}`"))).join(chosen, F.col(key) == F.col("__found"), "left")
+    none = F.array().cast(SPANS)
     parts = [_spans(plain, r) if i in full else F.when(F.array_contains(F.col(found), i), _spans(plain, r)).otherwise(none) for i, r in enumerate(rules)]
     order = {r.kind: i for i, r in enumerate(rules)}
     rank = F.create_map(*[x for k, i in order.items() for x in (F.lit(k), F.lit(i))])

@@ -70,6 +70,39 @@ def test_odd_tables(spark, make):
         assert spans(r) == brute(r.text or "")
 
 
+LONG = "".join(chr(97 + (i * i + i // 26) % 26) for i in range(100))
+
+
+def test_kept_index_and_long_rules(spark):
+    """One index of all trigrams serves rules that come later, one of them with about a hundred mandatory trigrams."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*CASES, f"x {LONG} y", LONG[:99], None, "zzz" * 10])], "doc_id bigint, text string")
+    kept = secrets.index(df).cache()
+    assert kept.where("gram = 'zzz'").selectExpr("sum(size(postings))").first()[0] == 1
+    later = (secrets.Rule("long", LONG), secrets.Rule("z", "z{5}"), secrets.Rule("zz", "zzzzzz"))
+    assert len(next(iter(secrets.trigram_query(LONG)))) > 90
+    for rules in (later, secrets.RULES):
+        with_, without = (secrets.scan(df, rules, postings=p).collect() for p in (kept, None))
+        for a, b in zip(sorted(with_, key=lambda r: r.doc_id), sorted(without, key=lambda r: r.doc_id), strict=True):
+            assert spans(a) == spans(b) == brute(a.text or "", rules)
+    found = {r.key: r.rules for r in secrets.candidates(kept, later).collect()}
+    assert sorted(found.values()) == [[0], [2]]  # LONG[:99] isn't a candidate, and z{5} has no mandatory trigram
+
+
+def test_candidates_are_broadcast_only_if_few(spark, monkeypatch):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(CASES * 3)], "doc_id bigint, text string")
+    want = sorted((r.doc_id, spans(r)) for r in secrets.scan(df).collect())
+    monkeypatch.setattr(secrets, "MOST_SENT", 1)
+    monkeypatch.setattr(secrets, "BLOCK", 2)
+    out = secrets.scan(df)
+    assert sorted((r.doc_id, spans(r)) for r in out.collect()) == want
+
+
+def test_many_matches(spark):
+    text = " ".join(f"token={'a' * 6}{i}" for i in range(1500)) + " " + "é " + "f" * 24
+    df = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    assert spans(secrets.scan(df).first()) == brute(text)
+
+
 def test_native(spark, sf):
     plan = op2_secret_scan(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
