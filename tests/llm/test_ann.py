@@ -86,3 +86,50 @@ def test_few(spark):
 def test_ties_go_to_the_smaller_id(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0])] + [(i, [2.0, 2.0]) for i in (9, 3, 7, 5, 8, 4)], SCHEMA)
     assert [i for i, _ in got(ann.search(df, F.col("vec_id") == 0))[0]] == [3, 4, 5, 7, 8]
+
+
+def test_ties_in_many_dimensions(spark):
+    """Groups of equal vectors of 64 dimensions among others: whatever places they have in a table, the smaller ids come first, and scores are equal."""
+    r = np.random.default_rng(8)
+    x = r.normal(size=(3000, 64)).astype(np.float32)
+    ids = r.permutation(3000)
+    queries = np.flatnonzero(ids % 50 == 0)
+    others = np.flatnonzero(ids % 50)
+    for n, q in enumerate(queries):  # seven equal rows near each query
+        x[others[n * 7 : n * 7 + 7]] = x[q] + r.normal(size=64) * 0.05
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x, strict=True)], SCHEMA).repartition(7)
+    have = got(ann.search(df, F.col("vec_id") % 50 == 0))
+    assert len(have) == len(queries)
+    for n, q in enumerate(queries):
+        want = sorted(int(i) for i in ids[others[n * 7 : n * 7 + 7]])[:5]
+        assert [i for i, _ in have[int(ids[q])]] == want
+        assert len({s for _, s in have[int(ids[q])]}) == 1
+
+
+def test_common_vector(spark):
+    """One vector that most rows have: its ids meet a query k + 1 at a time, and a query of that class gets the others."""
+    df = spark.createDataFrame([(i, [1.0, 2.0, 3.0]) for i in range(400)] + [(i, [1.0, 2.0, float(i)]) for i in range(400, 420)], SCHEMA)
+    have = got(ann.search(df, F.col("vec_id").isin(0, 3, 399, 410)))
+    assert [i for i, _ in have[0]] == [1, 2, 3, 4, 5] and [i for i, _ in have[3]] == [0, 1, 2, 4, 5] and [i for i, _ in have[399]] == [0, 1, 2, 3, 4]
+    assert [i for i, _ in have[410]][:2] == [411, 409] or [i for i, _ in have[410]][:2] == [409, 411]
+
+
+def test_scores_dont_depend_on_place():
+    r = np.random.default_rng(2)
+    for d in (1, 3, 64, 100):
+        x, y = r.normal(size=(50, d)), r.normal(size=(50, d))
+        x[[3, 17, 49]] = x[0]
+        y[[3, 17, 49]] = y[0]
+        s = ann.cosines(x, y)
+        assert len({s[i] for i in (0, 3, 17, 49)}) == 1 and s[0] == ann.cosines(x[:1], y[:1])[0]
+
+
+def test_fewer_rows_than_a_scan():
+    """Of 20,000 nearly uniform vectors, probing reads a part, and almost none go on to floats."""
+    r = np.random.default_rng(9)
+    x = r.normal(size=(20_000, 64))
+    model = ann.fit(x[:6000], 5, ann.Index(queries=100))
+    shard = ann.Shard(ann.code(model, x))
+    probed = [len(shard.probe(shard.codes[i], model.flips)) for i in range(0, 20_000, 400)]
+    on = [len(shard.nearest(shard.codes[i], model.flips, 64, model.margin)[0]) for i in range(0, 20_000, 400)]
+    assert np.mean(probed) < 0.5 * len(x) and np.mean(on) < 0.05 * len(x)
