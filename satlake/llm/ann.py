@@ -37,10 +37,10 @@ WIDTH = 16  # bits of a substring
 
 @dataclass(frozen=True)
 class Index:
-    bits: int = 1024
+    bits: int = 1536
     sample: int = 12_000
     queries: int = 400
-    reach: float = 0.97
+    reach: float = 0.95
     sure: float = 0.99
     steps: int = 8
     seed: int = 11
