@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from satlake.llm import bpe, quality
 from satlake.llm.queries import op6_fertility
@@ -94,6 +95,24 @@ def test_clean_stay_and_noise_goes(spark, sf):
     assert not any(r.quality.kept for r in quality.judge(spark.createDataFrame(rows, "lang string, text string"), MODEL).collect())
 
 
+def labelled(spark, table):
+    d = f"/root/testdata/{table}"
+    return spark.read.parquet(f"{d}/documents.parquet").join(spark.read.parquet(f"{d}/labels.parquet").withColumnRenamed("quality", "label"), "doc_id")
+
+
+def test_bands_are_what_fitting_gives(spark):
+    """Half of the labelled documents, fitted again, gives the constants; the other half, which had no part in them, tells how well they do."""
+    df = labelled(spark, "sf0.1")
+    bands = quality.fit(df.where((F.col("label") == 1) & (quality.half() == quality.FITTED_ON)), MODEL)
+    assert {k: quality.BANDS[k] for k in bands} == bands and quality.widest(bands) == quality.BANDS["latin"]
+    rest = quality.judge(df.where(quality.half() != quality.FITTED_ON), MODEL).where("not quality.base_failed").groupBy("label").agg(F.count("*").alias("n"), F.count_if("quality.kept").alias("kept")).collect()
+    clean, junk = sorted(rest, key=lambda r: -r.label)
+    assert clean.n > 1500 and clean.kept >= 0.998 * clean.n and junk.n > 100 and junk.kept <= 0.3 * junk.n
+    some = quality.fit(df.where("label = 1"), MODEL, quality.Fit(sample=300))
+    assert set(some) == {"en"} or set(some) > {"en"}  # the sample is bounded, and languages with too few documents are left out
+    assert quality.fit(df.limit(0), MODEL) == {}
+
+
 def test_query(spark, sf):
     docs = {d.doc_id: d.text for d in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     for r in op6_fertility(spark, sf).collect():
