@@ -6,13 +6,18 @@ linked if the Jaccard similarity of their shingle sets is 0.8 or more. Texts wit
 1. Each text has 160 MinHash values, in 32 bands of five. Texts that share a band's values are candidates: at similarity 0.8 a pair is
    missed with probability 3e-6. Bands meet in sums of the least and greatest text, so neither copies nor a bucket that a third of all texts
    are in gather anywhere; each text of a bucket is tied to the bucket's least one, and components of these ties are the groups in which pairs are sought.
-2. Equal texts are one class. A group of up to `block` classes is one unit of work. A larger one is dealt by length (texts linked differ in
-   length by a quarter at most, so only neighbouring lengths are compared) and then by hash into blocks, and a unit is a pair of blocks.
-3. Inside a unit, MinHash values are compared sixteen at a time. A pair is dropped when, given its m agreements in n, the posterior probability (uniform
-   prior) of a similarity of 0.8 or more is below `tolerance`. What is left is verified exactly on the shingle sets.
+2. Equal texts are one class. Each class of a group is read once: its shingles, its size and a byte of each MinHash value go on, the text doesn't. A group of up to `block` classes is
+   one unit of work. In a larger one, the text of least MD5 is the pivot, and each class is held as its difference from it: shingles that just one of the two has, a few for near
+   copies. Jaccard distance is a metric, so classes linked differ in their distance to the pivot by 1 - 0.8 at most: classes are dealt by that distance in such steps and by size, in
+   steps of a quarter, and only neighbouring steps are compared. Steps are dealt by hash into blocks, and a unit is a pair of blocks.
+3. Inside a unit, MinHash bytes are compared sixteen at a time. A pair is dropped when, given its m agreements in n, the posterior probability (uniform
+   prior) of a similarity of 0.8 or more is below `tolerance`; bytes agree no less often than values, so none is dropped that values would keep. What is left is verified exactly: two
+   texts' difference is the difference of their differences from the pivot.
 4. A unit returns one row a class: its links, and the least class that it is tied to. No pairs are returned. Components of the ties are
    the near-duplicate groups.
 
+The number of links of every text is part of the result, so work in a group grows with its pairs of neighbouring steps; rows moved are a few hundred bytes a class and block.
+
 Shingles and classes are told apart by 64-bit and 128-bit hashes.
 
 Result: one row a document: its class (least document id of the equal texts), its group (least id of all linked, directly or through others), how many
@@ -48,7 +53,7 @@ class Join:
     rows: int = 5
     step: int = 16
     tolerance: float = 1e-7
-    block: int = 400
+    block: int = 128
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -116,12 +121,14 @@ def least_agreements(p: Join) -> tuple[int, ...]:
     return tuple(out)
 
 
-def linked(flat: np.ndarray, start: np.ndarray, a: np.ndarray, b: np.ndarray, p: Join) -> tuple[np.ndarray, np.ndarray]:
-    """Of the pairs (a, b) of texts, those linked: first by length, then by steps of MinHash values, then exactly."""
-    size = np.diff(start)
+def linked(flat: np.ndarray, start: np.ndarray, a: np.ndarray, b: np.ndarray, p: Join, signs: np.ndarray | None = None, size: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Of the pairs (a, b) of texts, those linked: first by length, then by steps of MinHash bytes, then exactly. flat, start: each text's shingles, or, where
+    signs and size are given beside them, its difference from one set that all texts share."""
+    held = np.diff(start)
+    size = held if size is None else size
     fits = np.minimum(size[a], size[b]) * p.den >= np.maximum(size[a], size[b]) * p.num
     a, b = a[fits], b[fits]
-    signs = minhash(flat, start, p.bands * p.rows)
+    signs = minhash(flat, start, p.bands * p.rows).astype(np.uint8) if signs is None else signs
     agreed = np.zeros(len(a), np.int64)
     for k, least in enumerate(least_agreements(p)):
         part = slice(k * p.step, (k + 1) * p.step)
@@ -131,11 +138,11 @@ def linked(flat: np.ndarray, start: np.ndarray, a: np.ndarray, b: np.ndarray, p:
     if not len(a):
         return a, b
     common = np.empty(len(a), np.int64)
-    if len(a) > 4 * len(size):  # many pairs: all intersections at once, by the shingles that more than one text has
+    if len(a) > 4 * len(held):  # many pairs: all intersections at once, by the shingles that more than one text has
         used = np.unique(np.concatenate([a, b]))
-        at = np.full(len(size), -1)
+        at = np.full(len(held), -1)
         at[used] = np.arange(len(used))
-        owner = np.repeat(np.arange(len(size)), size)
+        owner = np.repeat(np.arange(len(held)), held)
         mine = at[owner] >= 0
         _, column, often = np.unique(flat[mine], return_inverse=True, return_counts=True)
         shared = often[column] > 1
@@ -146,14 +153,16 @@ def linked(flat: np.ndarray, start: np.ndarray, a: np.ndarray, b: np.ndarray, p:
         total = np.zeros((len(used), len(used)), np.float32)
         for low in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
             lo, hi = np.searchsorted(column, [low, low + 4096])
-            held = np.zeros((len(used), 4096), np.float32)
-            held[row[lo:hi], column[lo:hi] - low] = 1
-            total += held @ held.T
+            hit = np.zeros((len(used), 4096), np.float32)
+            hit[row[lo:hi], column[lo:hi] - low] = 1
+            total += hit @ hit.T
         common = total[at[a], at[b]].astype(np.int64)
     else:
         for k, (i, j) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
             common[k] = len(np.intersect1d(flat[start[i] : start[i + 1]], flat[start[j] : start[j + 1]], assume_unique=True))
-    near = common * p.den >= (size[a] + size[b] - common) * p.num
+    apart = held[a] + held[b] - 2 * common  # shingles that just one of the two has
+    both = (size[a] + size[b] - apart) // 2
+    near = both * p.den >= (size[a] + size[b] - both) * p.num
     return a[near], b[near]
 
 
@@ -173,19 +182,59 @@ def _bands(p: Join):
     return run
 
 
+HELD = pa.schema([("comp", pa.int64()), ("node", pa.int64()), ("md5", pa.string()), ("copies", pa.int64()), ("n", pa.int64()), ("signs", pa.binary()), ("grams", pa.binary())])
+T_HELD = "comp long, node long, md5 string, copies long, n long, signs binary, grams binary"
+
+
+def _read(p: Join):
+    """(comp, node, md5, copies, text) to what a unit needs of each: size, MinHash bytes and sorted shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for texts in texts_of(batch.column(4)):
+                flat, start = shingle_sets(texts, p.words)
+                signs = minhash(flat, start, p.bands * p.rows).astype(np.uint8)
+                part = batch.slice(at, len(texts))
+                at += len(texts)
+                grams = [flat[i:j].tobytes() for i, j in zip(start, start[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(np.diff(start)), pa.array([x.tobytes() for x in signs], pa.binary()), pa.array(grams, pa.binary())], schema=HELD)
+        give_back()
+
+    return run
+
+
+def _differ(p: Join):
+    """The same columns and `pivot` to T_HELD with differences from the pivot as grams, and `step`: the distance from the pivot, in steps of what two linked texts can differ by."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            grams, steps = [], []
+            for own, pivot in zip(batch.column(6), batch.column(7), strict=True):
+                x, y = np.frombuffer(own.as_py(), np.uint64), np.frombuffer(pivot.as_py(), np.uint64)
+                d = np.setxor1d(x, y, assume_unique=True)
+                grams.append(d.tobytes())
+                steps.append(2 * len(d) * p.den // ((len(x) + len(y) + len(d)) * (p.den - p.num)))  # distance: what differs, of the union
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(grams, pa.binary()), pa.array(steps, pa.int32())], names=[*HELD.names, "step"])
+
+    return run
+
+
 def _units(p: Join):
     def unit(table: pa.Table) -> pa.Table:
-        node, side = table.column("node").to_numpy(), table.column("side").to_numpy()
+        node, side, size = (table.column(c).to_numpy() for c in ("node", "side", "n"))
         copies = table.column("copies").to_numpy()
-        texts = table.column("text").to_pylist()
-        flat, start = shingle_sets(texts, p.words)
-        n = len(texts)
+        n = len(node)
+        grams = table.column("grams").to_pylist()
+        flat, start = np.frombuffer(b"".join(grams), np.uint64), np.append(0, np.cumsum([len(g) // 8 for g in grams]))
+        signs = np.frombuffer(b"".join(table.column("signs").to_pylist()), np.uint8).reshape(n, -1)
         if (side < 0).any():  # one block with itself, or a whole small group
             a, b = np.triu_indices(n, 1)
         else:
             one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
             a, b = np.repeat(one, len(two)), np.tile(two, len(one))
-        a, b = linked(flat, start, a, b, p)
+        a, b = linked(flat, start, a, b, p, signs, size)
         links = np.bincount(np.concatenate([a, b]), minlength=n)
         others = np.bincount(np.concatenate([a, b]), np.concatenate([copies[b], copies[a]]), n).astype(np.int64)
         root = np.arange(n)
@@ -204,6 +253,9 @@ def _units(p: Join):
     return unit
 
 
+STEPS = 1024  # above the most steps of distance, so that size and distance make one number
+
+
 def classes(df: DataFrame, p: Join = Join()) -> DataFrame:
     """df: doc_id, text (not null). (md5, node, class, copies, group, key, links, others) of each class; key is the group's own, whatever its ids."""
     small_batches(df.sparkSession)
@@ -216,37 +268,39 @@ def classes(df: DataFrame, p: Join = Join()) -> DataFrame:
 
     named = df.select("doc_id", node, key).groupBy("node", "md5").agg(F.min("doc_id").alias("class"), F.count("*").alias("copies"))
     named = reliable(named)
-    sought = named.join(groups, F.col("node") == F.col("n")).select("comp", "node", "md5", "class", "copies")
+    sought = reliable(named.join(groups, F.col("node") == F.col("n")).select("comp", "node", "md5", "class", "copies"))
+    many = reliable(sought.groupBy("comp").agg(F.count("*").alias("all")).where(F.col("all") > p.block).select(F.col("comp").alias("c")))
     # the text of one document of each class; ids are not hot, as md5s may be
     own = df.select(F.col("doc_id").alias("d"), F.md5(F.col("text").cast("binary")).alias("m"), "text")
-    held = sought.join(own, F.col("class").eqNullSafe(F.col("d")) & (F.col("md5") == F.col("m"))).dropDuplicates(["md5", "node"]).select("comp", "node", "md5", "copies", "text")
-
-    def count(arrays: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for a in arrays:
-            yield pa.array(np.concatenate([np.diff(shingle_sets(t, p.words)[1]) for t in texts_of(a)]) if len(a) else [], pa.int64())
-
-    count.__annotations__ = {"arrays": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    one = sought.join(own, F.col("class").eqNullSafe(F.col("d")) & (F.col("md5") == F.col("m"))).dropDuplicates(["md5", "node"])
+    held = reliable(one.select("comp", "node", "md5", "copies", "text").mapInArrow(_read(p), T_HELD))
+
+    # groups of over one block, each once for every salt, so that such a group's classes aren't dealt to one task by its number
+    salted = lambda df: df.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("md5"), F.lit(SALTS)).cast("int")
+    large = held.join(many, F.col("comp") == F.col("c"), "left_semi")
+    small = held.join(many, F.col("comp") == F.col("c"), "left_anti")
+    pivots = salted(large.groupBy(F.col("comp").alias("c")).agg(F.min_by("grams", "md5").alias("pivot")))
+    near = large.withColumn("salt", salt).join(pivots, (F.col("comp") == F.col("c")) & (F.col("salt") == F.col("s"))).select(*HELD.names, "pivot")
     width = math.log(p.den / p.num) * 1.0001
-    held = held.withColumn("n", F.arrow_udf(count, "long")(F.col("text"))).withColumn("cls", F.floor(F.log(F.col("n").cast("double")) / width).cast("int"))
-    held = reliable(held)
-    # groups of over one block, each once for every salt, so that such a group's texts aren't dealt to one task by its number
-    salt = lambda df: df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    big = held.groupBy("comp").agg(F.count("*").alias("all")).where(F.col("all") > p.block)
-    parts = held.groupBy("comp", "cls").agg(F.ceil(F.count("*") / p.block).cast("int").alias("blocks")).join(big.select("comp"), "comp", "left_semi")
-    per = parts.groupBy("comp").agg(F.map_from_entries(F.collect_list(F.struct("cls", "blocks"))).alias("blocks"))  # a length class spans a quarter, so they are few
-    per = salt(per).withColumnsRenamed({"comp": "c0", "salt": "s0"})
-    dealt = held.withColumn("salt", F.pmod(F.xxhash64("md5"), F.lit(SALTS)).cast("int")).join(per, (F.col("comp") == F.col("c0")) & (F.col("salt") == F.col("s0")), "left")
-    cls = F.col("cls")
-    upto = lambda k: F.sequence(F.lit(0), F.try_element_at("blocks", k) - 1)
-    sub = F.pmod(F.xxhash64("md5", F.lit(1)), F.try_element_at("blocks", cls)).cast("int")
+    size = F.floor(F.log(F.col("n").cast("double")) / width).cast("int")
+    near = reliable(near.mapInArrow(_differ(p), f"{T_HELD}, step int").withColumn("k", size * STEPS + F.col("step")))
+    parts = near.groupBy("comp", "k").agg(F.ceil(F.count("*") / p.block).cast("int").alias("blocks"))
+    per = salted(parts.groupBy(F.col("comp").alias("c")).agg(F.map_from_entries(F.collect_list(F.struct("k", "blocks"))).alias("blocks")))  # steps of size and distance are few
+    dealt = near.withColumn("salt", salt).join(per, (F.col("comp") == F.col("c")) & (F.col("salt") == F.col("s")))
+    k = F.col("k")
+    sub = F.pmod(F.xxhash64("md5", F.lit(1)), F.element_at("blocks", k)).cast("int")
     unit = lambda k1, b1, k2, b2, side: F.struct(k1.alias("k1"), b1.alias("b1"), k2.alias("k2"), b2.alias("b2"), side.alias("side"))
     none = F.array().cast("array<struct<k1:int,b1:int,k2:int,b2:int,side:int>>")
-    within = F.transform(upto(cls), lambda s: unit(cls, F.least(s, sub), cls, F.greatest(s, sub), F.when(s == sub, -1).when(s > sub, 0).otherwise(1)))
-    up = F.coalesce(F.transform(upto(cls + 1), lambda s: unit(cls, sub, cls + 1, s, F.lit(0))), none)
-    down = F.coalesce(F.transform(upto(cls - 1), lambda s: unit(cls - 1, s, cls, sub, F.lit(1))), none)
+    upto = lambda other: F.sequence(F.lit(0), F.try_element_at("blocks", other) - 1)
+    within = F.transform(upto(k), lambda s: unit(k, F.least(s, sub), k, F.greatest(s, sub), F.when(s == sub, -1).when(s > sub, 0).otherwise(1)))
+    above = lambda m: F.coalesce(F.transform(upto(k + m), lambda s: unit(k, sub, k + m, s, F.lit(0))), none)
+    below = lambda m: F.coalesce(F.transform(upto(k - m), lambda s: unit(k - m, s, k, sub, F.lit(1))), none)
+    where = [within, *[side(m) for m in (1, STEPS - 1, STEPS, STEPS + 1) for side in (above, below)]]
+    carried = ("node", "md5", "copies", "n", "signs", "grams")
+    units = dealt.select("comp", F.explode(F.concat(*where)).alias("u"), *carried).select("comp", "u.*", *carried)
     zero = F.lit(0)
-    where = F.when(F.col("blocks").isNull(), F.array(unit(zero, zero, zero, zero, F.lit(-1)))).otherwise(F.concat(within, up, down))
-    units = dealt.select("comp", "node", "md5", "copies", "text", F.explode(where).alias("u")).select("comp", "u.*", "node", "md5", "copies", "text")
+    units = units.unionByName(small.select("comp", *[zero.alias(c) for c in ("k1", "b1", "k2", "b2")], F.lit(-1).alias("side"), *carried))
     shape = ("comp", "k1", "b1", "k2", "b2")
     units = units.groupBy(*shape).applyInArrow(_units(p), "md5 string, node long, root long, links long, others long")
     units = reliable(units)

@@ -2,6 +2,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from satlake.llm import ngramjoin as N
@@ -80,6 +81,28 @@ def test_as_brute_force(spark, docs, block):
     assert got(N.near_duplicates(table(spark, docs), N.Join(block=block))) == brute(docs)
 
 
+def test_differences_tell_what_sets_tell():
+    """Pairs held as differences from any pivot are linked as whole sets are, and linked texts lie in neighbouring steps of distance."""
+    r = random.Random(8)
+    base = [word(r) for _ in range(80)]
+    texts = [drifted(r, base, r.randrange(12)) for _ in range(60)] + [" ".join(word(r) for _ in range(r.randrange(1, 90))) for _ in range(20)]
+    p = N.Join()
+    flat, start = N.shingle_sets(texts, 5)
+    a, b = np.triu_indices(len(texts), 1)
+    want = set(zip(*(x.tolist() for x in N.linked(flat, start, a, b, p)), strict=True))
+    rows_ = next(iter(N._read(p)([pa.RecordBatch.from_arrays([pa.array(range(80), pa.int64()), pa.array(range(80), pa.int64()), pa.array([str(i) for i in range(80)]), pa.array([1] * 80, pa.int64()), pa.array(texts)], names=["comp", "node", "md5", "copies", "text"])])))
+    for pivot in (0, 70):
+        with_pivot = pa.RecordBatch.from_arrays([*rows_.columns, pa.array([rows_.column(6)[pivot].as_py()] * 80, pa.binary())], names=[*rows_.schema.names, "pivot"])
+        (d,) = N._differ(p)([with_pivot])
+        grams, step = d.column(6).to_pylist(), d.column(7).to_pylist()
+        assert grams[pivot] == b"" and step[pivot] == 0
+        signs = np.frombuffer(b"".join(d.column(5).to_pylist()), np.uint8).reshape(80, -1)
+        some, ends = np.frombuffer(b"".join(grams), np.uint64), np.append(0, np.cumsum([len(g) // 8 for g in grams]))
+        have = set(zip(*(x.tolist() for x in N.linked(some, ends, a, b, p, signs, d.column(4).to_numpy())), strict=True))
+        assert have == want and len(want) >= 40
+        assert all(abs(step[i] - step[j]) <= 1 for i, j in want)
+
+
 def test_threshold_is_exact(spark):
     """8 of 10 shingles in common are a link; 7 of 10, 0.79... are none."""
     w = [f"w{i}" for i in range(60)]
