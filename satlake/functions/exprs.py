@@ -30,7 +30,7 @@ def hex_strict(c: Column, what: str) -> Column:
     return F.when(c.rlike(HEX), F.unhex(c)).otherwise(F.raise_error(F.concat(F.lit(f"bad hex in {what}: "), F.coalesce(c, F.lit("missing")))).cast("binary"))
 
 
-def to_hex(c: Column) -> Column:
+def to_hex(c: Column | str) -> Column:
     return F.lower(F.hex(c))
 
 

@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df, written to the folder in spark.checkpoint.dir and read from there.
-
-    Where that is unset, a local session gets a folder of its own; on a cluster, whose executors can't read the driver's folders, it is an error.
-    """
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir. Where that is unset, a local session gets a folder of its own; on a cluster, whose executors
+    can't read the driver's folders, it is an error."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None and not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="satlake-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df, written to the shared folder and read from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

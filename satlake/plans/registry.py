@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,8 +10,11 @@ from pyspark.sql import functions as F
 
 from satlake.functions import exprs as X
 from satlake.operators import derive, parse, trace
+from satlake.operators.lineage import cut, shared_folder
 from satlake.plans import api
 from satlake.plans.ledger import WIDTH, Ledger, sql
+from satlake.sources.store import FACTS, Store
+from satlake.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -353,6 +357,89 @@ def parse_receivers(g: Ledger) -> DataFrame:
     return rows.select("address", "block_height", "tx_index", _id("txid"), F.col("role").cast("int").alias("role"), "net_value_sats", F.col("block_time").cast("timestamp_ntz").alias("block_time"))
 
 
+def detail_json(g: Ledger) -> DataFrame:
+    """height, block: the ledger from height 0 on, with the fields that nodes leave out, leave empty or get wrong in some places."""
+    first = g.blocks.agg(F.min("height").alias("low"))
+    text = lambda c: F.col(c).cast("string")
+    spk = F.struct(
+        F.when(F.col("vout_idx") % 2 == 0, F.concat(F.lit("76A9"), F.lpad(text("vout_idx"), 2, "0"))).otherwise("not hex").alias("hex"),
+        F.when(F.col("vout_idx") % 2 == 0, F.col("address")).alias("address"), F.when(F.col("vout_idx") % 2 == 1, F.array("address", F.lit("second"))).alias("addresses"),
+    )
+    outs = g.outputs.groupBy(F.col("txid").alias("o")).agg(F.array_sort(F.collect_list(F.struct(F.col("vout_idx").alias("n"), spk.alias("scriptPubKey")))).alias("vout"))
+    script = F.when(F.col("vin_idx") % 3 == 0, "abc").when(F.col("vin_idx") % 3 == 1, F.lpad(text("vin_idx"), 4, "0"))
+    vin = F.struct("vin_idx", F.lit("00").alias("coinbase"), F.struct(script.alias("hex")).alias("scriptSig"), F.when(F.col("vin_idx") % 2 == 1, F.array(F.lit(""), F.lit("aa"))).alias("txinwitness"))
+    ins = g.inputs.groupBy(F.col("txid").alias("i")).agg(F.array_sort(F.collect_list(vin)).alias("vin"))
+    size = F.when(F.col("tx_index") % 5 == 0, 0).otherwise(F.col("tx_index") + 200)
+    tx = F.struct("tx_index", _pad(F.col("txid")).alias("txid"), (F.col("tx_index") % 2 + 1).alias("version"), F.col("block_height").alias("locktime"), size.alias("size"), F.col("tx_index").alias("vsize"), (size * 4).alias("weight"), "vin", F.coalesce("vout", F.array()).alias("vout"))
+    per = g.transactions.join(outs, F.col("txid") == F.col("o"), "left").join(ins, F.col("txid") == F.col("i"), "left").groupBy("block_height").agg(F.array_sort(F.collect_list(tx)).alias("tx"))
+    b = g.blocks.join(per, F.col("height") == F.col("block_height")).crossJoin(F.broadcast(first))  # first: one row
+    before = F.when(F.col("height") % 2 == 1, F.sha2(F.concat(F.lit("block:"), (F.col("height") - 1).cast("string")), 256))
+    return b.select((F.col("height") - F.col("low")).alias("height"), F.to_json(F.struct("hash", before.alias("previousblockhash"), F.when(F.col("height") % 3 == 0, "0x").alias("merkleroot"), F.lit("junk").alias("bits"), "tx")).alias("block"))
+
+
+@query(
+    sql(
+        "SELECT t.txid, t.tx_index % 2 + 1 AS version, CAST(t.block_height AS BIGINT) AS locktime, nullif(s, 0) AS size_bytes, nullif(t.tx_index, 0) AS vsize, nullif(s * 4, 0) AS weight, coalesce(w, false) AS has_segwit FROM (SELECT *, CASE WHEN tx_index % 5 = 0 THEN 0 ELSE tx_index + 200 END AS s FROM transactions) t LEFT JOIN (SELECT txid, bool_or(vin_idx % 2 = 1) AS w FROM inputs GROUP BY 1) i ON i.txid = t.txid",
+        "transactions", "inputs",
+    )
+)
+def parse_tx_details(g: Ledger) -> DataFrame:
+    """Sizes of 0 are unknown; a transaction has a witness if some input has."""
+    return parse.tables(detail_json(g))["transactions"].select(_id("txid"), "version", "locktime", "size_bytes", "vsize", "weight", "has_segwit")
+
+
+@query(
+    sql(
+        "SELECT txid, vin_idx, CASE WHEN vin_idx % 3 = 1 THEN lpad(CAST(vin_idx AS VARCHAR), 4, '0') END AS script_sig, CASE WHEN vin_idx % 2 = 1 THEN 'NULL,aa' END AS witness, CAST(4294967294 AS BIGINT) AS sequence_no FROM inputs",
+        "inputs",
+    )
+)
+def parse_input_details(g: Ledger) -> DataFrame:
+    """Bad hex is null, an empty witness item too; no witness is null; a missing sequence has its default."""
+    i = parse.tables(detail_json(g))["tx_inputs"]
+    witness = F.array_join(F.transform("witness", X.to_hex), ",", "NULL")
+    return i.select(_id("txid"), "vin_idx", X.to_hex(F.col("script_sig")).alias("script_sig"), witness.alias("witness"), "sequence_no")
+
+
+@query(sql("SELECT txid, vout_idx, CASE WHEN vout_idx % 2 = 0 THEN '76a9' || lpad(CAST(vout_idx AS VARCHAR), 2, '0') END AS script_pubkey, address FROM outputs", "outputs"))
+def parse_output_details(g: Ledger) -> DataFrame:
+    """Scripts with bad hex are null; where there is no address, the first of the addresses is it."""
+    return parse.tables(detail_json(g))["tx_outputs"].select(_id("txid"), "vout_idx", X.to_hex(F.col("script_pubkey")).alias("script_pubkey"), "address")
+
+
+@query(
+    sql(
+        "SELECT CAST(height - low AS INTEGER) AS height, CASE WHEN height % 2 = 1 THEN sha256('block:' || (height - 1)) WHEN height = low THEN repeat('0', 64) END AS prev_hash, CAST(NULL AS VARCHAR) AS merkle_root, CAST(0 AS BIGINT) AS bits, CAST(0 AS BIGINT) AS nonce FROM blocks, (SELECT min(height) AS low FROM blocks)",
+        "blocks",
+    )
+)
+def parse_block_links(g: Ledger) -> DataFrame:
+    """The hash before: as given; zeros for the first block if it has none; else null. What can't be read is null or 0."""
+    return parse.tables(detail_json(g))["blocks"].select("height", X.to_hex(F.col("prev_hash")).alias("prev_hash"), X.to_hex(F.col("merkle_root")).alias("merkle_root"), "bits", "nonce")
+
+
+@query(
+    sql(
+        "SELECT 'blocks' AS name, count(*) AS n, CAST(sum(height) AS BIGINT) AS total FROM blocks UNION ALL SELECT 'transactions', count(*), CAST(sum(tx_index) AS BIGINT) FROM transactions UNION ALL SELECT 'tx_outputs', count(*), CAST(sum(value_sats) AS BIGINT) FROM outputs UNION ALL SELECT 'tx_inputs', count(*), CAST(sum(vin_idx) AS BIGINT) FROM inputs UNION ALL SELECT 'address_balances', count(*), CAST(sum(balance_sats) AS BIGINT) FROM sums UNION ALL SELECT 'address_transactions', count(*), CAST(sum(net_value_sats) AS BIGINT) FROM history UNION ALL SELECT 'utxo_set', count(*), CAST(sum(value_sats) AS BIGINT) FROM utxo UNION ALL SELECT 'last_height', 1, max(height) FROM blocks",
+        "blocks", "transactions", "outputs", "inputs", "sums", "history", "utxo",
+    )
+)
+def store_batches(g: Ledger) -> DataFrame:
+    """What a store holds after three batches of which the last comes twice: one in historical mode, then live ones, before which the first is derived."""
+    raw, store = cut(block_json(g)), Store(g.spark, f"{shared_folder(g.spark)}/store-{uuid.uuid4().hex}", WIDTH)
+    low, high = raw.agg(F.min("height"), F.max("height")).first()
+    third = (high - low) // 3
+    ranges = [(low, low + third), (low + third + 1, low + 2 * third), (low + 2 * third + 1, high), (low + 2 * third + 1, high)]
+    for k, (a, b) in enumerate(ranges):
+        ingest.save(store, raw.where(F.col("height").between(a, b)), historical=k == 0, again=True)
+    totals = {"blocks": "height", "transactions": "tx_index", "tx_outputs": "value_sats", "tx_inputs": "vin_idx", "address_balances": "balance_sats", "address_transactions": "net_value_sats", "utxo_set": "value_sats"}
+    out = g.spark.createDataFrame([("last_height", 1, store.last_height())], "name string, n bigint, total bigint")
+    for name, c in totals.items():
+        df = store.facts(name) if name in FACTS else store.derived(name)
+        out = out.unionByName(df.agg(F.lit(name).alias("name"), F.count("*").alias("n"), F.sum(c).cast("bigint").alias("total")))
+    return out
+
+
 @query(sql("SELECT block_height, CAST(coalesce(sum(fee_sats), 0) AS BIGINT) AS total_fees_sats FROM transactions GROUP BY 1", "transactions"))
 def block_fee_totals(g: Ledger) -> DataFrame:
     return g.transactions.groupBy("block_height").agg(F.coalesce(F.sum("fee_sats"), F.lit(0)).alias("total_fees_sats"))
@@ -412,7 +499,11 @@ def partition_labels(g: Ledger) -> DataFrame:
     )
 )
 def verify_report(g: Ledger) -> DataFrame:
-    return derive.verify_report(g.marked, g.history, derive.balances(derive.deltas(g.marked)), g.utxo, g.blocks.agg(F.max("height")))
+    marked = cut(g.marked)  # outputs meet their spends once; balances, history and unspent outputs all follow from that
+    held = marked.where("address is not null")
+    sent = held.where("is_spent").select("address", F.col("spent_height").alias("block_height"), F.col("spending_txid").alias("txid"), (-F.col("value_sats")).alias("delta"))
+    history = derive.receiver_rows(held, g.transactions, g.blocks).unionByName(derive.sender_rows_of(sent, g.transactions, g.blocks))
+    return derive.verify_report(marked, history, derive.balances(derive.deltas(held)), held.where("not is_spent"), g.blocks.agg(F.max("height")))
 
 
 @query(sql("SELECT height, hash, tx_count, block_time FROM blocks ORDER BY height DESC LIMIT 10", "blocks"))

@@ -60,6 +60,17 @@ def without(ranges: Ranges, other: Ranges) -> Ranges:
     return out
 
 
+def bridged(ranges: Ranges, other: Ranges) -> Ranges:
+    """Ranges joined over gaps that hold nothing of the others: as a filter on rows of both, the same with fewer terms."""
+    out: Ranges = []
+    for a, b in ranges:
+        if out and not common(other, [[out[-1][1] + 1, a - 1]]):
+            out[-1][1] = b
+        else:
+            out.append([a, b])
+    return out
+
+
 def runs_of(heights: DataFrame) -> Ranges:
     """The ranges of a column of heights, each of which must occur once."""
     n, distinct, low, high = heights.agg(F.count("*"), F.countDistinct("height"), F.min("height"), F.max("height")).first()
@@ -69,8 +80,8 @@ def runs_of(heights: DataFrame) -> Ranges:
         return []
     if n == high - low + 1:
         return [[low, high]]
-    run = F.col("height") - F.row_number().over(Window.orderBy("height"))
-    return joined([], [[r.a, r.b] for r in heights.groupBy(run.alias("run")).agg(F.min("height").alias("a"), F.max("height").alias("b")).collect()])
+    runs = heights.withColumn("run", F.col("height") - F.row_number().over(Window.orderBy("height"))).groupBy("run").agg(F.min("height").alias("a"), F.max("height").alias("b"))
+    return joined([], [[r.a, r.b] for r in runs.collect()])
 
 
 def inside(ranges: Ranges, height: Column) -> Column:

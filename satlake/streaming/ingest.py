@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from satlake.operators import derive, parse
-from satlake.sources.store import STEPS, Ranges, Store, common, fold, inside, runs_of, without
+from satlake.sources.store import STEPS, Ranges, Store, bridged, common, fold, inside, runs_of, without
 
 Changes = list[tuple[str, DataFrame]]
 OUTPUT = ("txid", "vout_idx", "block_height", "value_sats", "script_type", "address")
@@ -84,7 +84,7 @@ def backfill(store: Store, skip: frozenset[str] = frozenset(), start: int = 0, e
     found: Changes = []
     with store.staging() as stage:
         for steps in groups.values():
-            heights = todo[steps[0]]
+            heights = bridged(todo[steps[0]], without(m["ranges"], todo[steps[0]]))
             low, high = heights[0][0], heights[-1][1]
             cut = lambda df: derive.height_between(df, low, high, store.width).where(inside(heights, F.col("block_height")))  # noqa: B023, E731
             outputs = derive.height_between(f["tx_outputs"], 0, high, store.width)
@@ -99,6 +99,7 @@ def unseen(store: Store, decoded: DataFrame) -> DataFrame:
     known = common(store.manifest()["ranges"], heights)
     if not known:
         return decoded
+    known = bridged(known, without(heights, known))
     ours = store.facts("blocks").where(inside(known, F.col("height"))).select(F.col("height").alias("h"), F.lower(F.hex("hash")).alias("ours"))
     other = decoded.where(inside(known, F.col("height"))).join(ours, F.col("height") == F.col("h")).where(F.lower("b.hash") != F.col("ours")).select("height").head(1)
     if other:
@@ -121,7 +122,8 @@ def save(store: Store, raw: DataFrame, batch: str | None = None, historical: boo
             return False
         if not historical:
             backfill(store)
-        return store.commit(parse.project(decoded), heights, batch, None if historical else lambda new: live(store, new, heights, stage))
+        own = bridged(heights, store.manifest()["ranges"])
+        return store.commit(parse.project(decoded), heights, batch, None if historical else lambda new: live(store, new, own, stage))
 
 
 def start(spark: SparkSession, blocks: DataFrame, store: Store, checkpoint: str, historical: bool = False, every: str | None = None):

@@ -11,7 +11,7 @@ from satlake.config import BackfillConfig, IngestConfig, overlay, read_flat_yaml
 from satlake.plans.ledger import Ledger
 from satlake.plans.registry import block_json
 from satlake.sources import rpc
-from satlake.sources.store import STEPS, Conflict, Store, common, joined, without
+from satlake.sources.store import STEPS, Conflict, Store, bridged, common, joined, runs_of, without
 from satlake.streaming import ingest
 
 CHAIN = 40
@@ -237,6 +237,12 @@ def test_ranges():
     assert joined([[0, 3]], [[4, 6], [9, 9]]) == [[0, 6], [9, 9]]
     assert common([[0, 6], [9, 12]], [[5, 10]]) == [[5, 6], [9, 10]]
     assert without([[0, 9]], [[3, 4], [9, 20]]) == [[0, 2], [5, 8]]
+    assert bridged([[0, 1], [4, 5], [9, 9]], [[7, 7]]) == [[0, 5], [9, 9]] and bridged([], [[1, 2]]) == []
+
+
+def test_heights_with_gaps(spark):
+    heights = spark.createDataFrame([(h,) for h in (3, 4, 9, 1, 5, 12)], "height int")
+    assert runs_of(heights) == [[1, 1], [3, 5], [9, 9], [12, 12]] and runs_of(heights.limit(0)) == []
 
 
 @pytest.mark.parametrize("cuts", [[(0, 19), (20, -1)], [(25, -1), (0, 9), (10, 24)]])
