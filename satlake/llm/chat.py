@@ -76,15 +76,19 @@ def learned(formatted: Column, mask: Column) -> Column:
 
 
 def log_of(rows: DataFrame) -> DataFrame:
-    """The log that a finished table (conv_id, turn, role, text) comes from: every row is a message, opened and then streamed in two deltas, and
-    an answer of `assistant` is first streamed in part, then regenerated. Rows of equal conv_id and turn are messages of their own, by role and text."""
+    """The log that a finished table (conv_id, turn, role, text) comes from: every row is a message, opened and then streamed in two deltas. An answer of `assistant` is first streamed in
+    part, then regenerated; any other message is first sent as a draft, then edited; and a conversation begins with a message that is dropped. Rows of equal conv_id
+    and turn are messages of their own, by role and text. Other columns are passed over."""
     number = F.row_number().over(Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text"))
     text = F.coalesce("text", F.lit(""))
     half = F.floor(F.length(text) / 2).cast("int")
-    of = lambda seq, kind, t: F.struct(F.lit(seq).alias("seq"), F.lit(kind).alias("kind"), t.alias("text"))
-    first, second = F.substring(text, F.lit(1), half), F.substring(text, half + 1, F.length(text))
-    plain = F.array(of(0, "open", F.lit("")), of(1, "delta", first), of(2, "delta", second))
-    again = F.array(of(0, "open", F.lit("")), of(1, "delta", F.substring(text, 1, 8)), of(2, "regenerate", F.lit("")), of(3, "delta", first), of(4, "delta", second))
+    of = lambda turn, seq, kind, t: F.struct(turn.alias("turn"), F.lit(seq).alias("seq"), F.lit(kind).alias("kind"), t.alias("text"))
+    first, second, draft = F.substring(text, F.lit(1), half), F.substring(text, half + 1, F.length(text)), F.substring(text, 1, 8)
+    n, none = F.col("n"), F.lit("")
+    plain = F.array(of(n, 0, "open", none), of(n, 1, "delta", draft), of(n, 2, "edit", first), of(n, 3, "delta", second))
+    again = F.array(of(n, 0, "open", none), of(n, 1, "delta", draft), of(n, 2, "regenerate", none), of(n, 3, "delta", first), of(n, 4, "delta", second))
+    begun = F.array(of(F.lit(0), 0, "open", none), of(F.lit(0), 1, "delta", draft), of(F.lit(0), 2, "drop", none))
     numbered = rows.select("conv_id", "turn", "role", "text").withColumn("n", number)  # before the explode, which would number events
-    events = numbered.select("conv_id", "n", "role", F.explode(F.when(F.col("role") == "assistant", again).otherwise(plain)).alias("e"))
-    return events.select(F.col("conv_id").alias("conv"), F.col("e.seq").alias("seq"), F.col("n").alias("turn"), F.col("e.kind").alias("kind"), "role", F.col("e.text").alias("text"))
+    own = F.when(F.col("role") == "assistant", again).otherwise(plain)
+    events = numbered.select("conv_id", "role", F.explode(F.when(n == 1, F.concat(begun, own)).otherwise(own)).alias("e"))
+    return events.select(F.col("conv_id").alias("conv"), F.col("e.seq").alias("seq"), F.col("e.turn").alias("turn"), F.col("e.kind").alias("kind"), "role", F.col("e.text").alias("text"))

@@ -52,6 +52,26 @@ def test_mask_spans(spark):
     assert texts == ["x\\k1]\\l🎉", ""]
 
 
+def test_all_kinds_are_staged(spark, sf):
+    """The log of a table holds edits, regenerations and dropped messages, and folds into the table."""
+    df = spark.read.parquet(f"{sf}/conversations.parquet")
+    log = chat.log_of(df)
+    assert {r.kind for r in log.select("kind").distinct().collect()} == set(chat.KINDS)
+    assert log.where("kind = 'drop'").count() == df.select("conv_id").distinct().count()
+    assert chat.fold(log).count() == df.count()
+
+
+def test_clashing_columns_and_long_texts(spark):
+    """Extra columns of names that are used inside change nothing; a turn of 300,000 characters, half of them escaped, comes back whole."""
+    long = "<[\\" * 50_000 + "é🎉 x" * 37_500
+    df = spark.createDataFrame([(1, 0, "user", "q"), (1, 1, "assistant", long), (2, 0, "assistant", "ok")], "conv_id bigint, turn bigint, role string, text string")
+    clash = df.select("*", *[F.lit(7).alias(c) for c in ("conv", "seq", "kind", "n", "e", "events", "reset", "turns", "learn", "body", "head", "formatted", "loss_mask", "loss")])
+    for table in (df, clash):
+        out = chat.render(chat.fold(chat.log_of(table))).select("conv", chat.read_back(F.col("formatted")).alias("turns"), chat.learned(F.col("formatted"), F.col("loss_mask")).alias("loss"))
+        got = {r.conv: ([(t["role"], t["text"]) for t in r.turns], r.loss) for r in out.collect()}
+        assert got == {1: ([("user", "q"), ("assistant", long)], long), 2: ([("assistant", "ok")], "ok")}
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     assert chat.render(chat.fold(chat.log_of(df))).collect() == []
