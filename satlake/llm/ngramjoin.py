@@ -187,7 +187,7 @@ T_HELD = "comp long, node long, md5 string, copies long, n long, signs binary, g
 
 
 def _read(p: Join):
-    """(comp, node, md5, copies, text) to what a unit needs of each: size, MinHash bytes and sorted shingles."""
+    """(comp, node, md5, copies, text, more) to what a unit needs of each: size, MinHash bytes and sorted shingles, and what else there is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -198,7 +198,7 @@ def _read(p: Join):
                 part = batch.slice(at, len(texts))
                 at += len(texts)
                 grams = [flat[i:j].tobytes() for i, j in zip(start, start[1:], strict=False)]
-                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(np.diff(start)), pa.array([x.tobytes() for x in signs], pa.binary()), pa.array(grams, pa.binary())], schema=HELD)
+                yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(np.diff(start)), pa.array([x.tobytes() for x in signs], pa.binary()), pa.array(grams, pa.binary()), *part.columns[5:]], names=[*HELD.names, *part.schema.names[5:]])
         give_back()
 
     return run
@@ -269,25 +269,24 @@ def classes(df: DataFrame, p: Join = Join()) -> DataFrame:
     named = df.select("doc_id", node, key).groupBy("node", "md5").agg(F.min("doc_id").alias("class"), F.count("*").alias("copies"))
     named = reliable(named)
     sought = reliable(named.join(groups, F.col("node") == F.col("n")).select("comp", "node", "md5", "class", "copies"))
-    many = reliable(sought.groupBy("comp").agg(F.count("*").alias("all")).where(F.col("all") > p.block).select(F.col("comp").alias("c")))
-    # the text of one document of each class; ids are not hot, as md5s may be
-    own = df.select(F.col("doc_id").alias("d"), F.md5(F.col("text").cast("binary")).alias("m"), "text")
-    one = sought.join(own, F.col("class").eqNullSafe(F.col("d")) & (F.col("md5") == F.col("m"))).dropDuplicates(["md5", "node"])
-    held = reliable(one.select("comp", "node", "md5", "copies", "text").mapInArrow(_read(p), T_HELD))
-
     # groups of over one block, each once for every salt, so that such a group's classes aren't dealt to one task by its number
     salted = lambda df: df.withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.xxhash64("md5"), F.lit(SALTS)).cast("int")
-    large = held.join(many, F.col("comp") == F.col("c"), "left_semi")
-    small = held.join(many, F.col("comp") == F.col("c"), "left_anti")
+    salt = F.pmod(F.xxhash64("md5"), F.lit(SALTS)).cast("int").alias("salt")
+    many = salted(sought.groupBy(F.col("comp").alias("c")).agg(F.count("*").alias("all")).where(F.col("all") > p.block).select("c"))
+    told = sought.select("*", salt).join(many, (F.col("comp") == F.col("c")) & (F.col("salt") == F.col("s")), "left").select(*sought.columns, F.col("c").isNotNull().alias("many"))
+    # the text of one document of each class; ids are not hot, as md5s may be
+    own = df.select(F.col("doc_id").alias("d"), F.md5(F.col("text").cast("binary")).alias("m"), "text")
+    one = told.join(own, F.col("class").eqNullSafe(F.col("d")) & (F.col("md5") == F.col("m"))).dropDuplicates(["md5", "node"])
+    held = reliable(one.select("comp", "node", "md5", "copies", "text", "many").mapInArrow(_read(p), f"{T_HELD}, many boolean"))
+    large, small = held.where("many"), held.where("not many")
     pivots = salted(large.groupBy(F.col("comp").alias("c")).agg(F.min_by("grams", "md5").alias("pivot")))
-    near = large.withColumn("salt", salt).join(pivots, (F.col("comp") == F.col("c")) & (F.col("salt") == F.col("s"))).select(*HELD.names, "pivot")
+    near = large.select("*", salt).join(pivots, (F.col("comp") == F.col("c")) & (F.col("salt") == F.col("s"))).select(*HELD.names, "pivot")
     width = math.log(p.den / p.num) * 1.0001
     size = F.floor(F.log(F.col("n").cast("double")) / width).cast("int")
     near = reliable(near.mapInArrow(_differ(p), f"{T_HELD}, step int").withColumn("k", size * STEPS + F.col("step")))
     parts = near.groupBy("comp", "k").agg(F.ceil(F.count("*") / p.block).cast("int").alias("blocks"))
     per = salted(parts.groupBy(F.col("comp").alias("c")).agg(F.map_from_entries(F.collect_list(F.struct("k", "blocks"))).alias("blocks")))  # steps of size and distance are few
-    dealt = near.withColumn("salt", salt).join(per, (F.col("comp") == F.col("c")) & (F.col("salt") == F.col("s")))
+    dealt = near.select("*", salt).join(per, (F.col("comp") == F.col("c")) & (F.col("salt") == F.col("s")))
     k = F.col("k")
     sub = F.pmod(F.xxhash64("md5", F.lit(1)), F.element_at("blocks", k)).cast("int")
     unit = lambda k1, b1, k2, b2, side: F.struct(k1.alias("k1"), b1.alias("b1"), k2.alias("k2"), b2.alias("b2"), side.alias("side"))
