@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import tempfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -12,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from satlake.operators.lineage import cut
+
 #: Python work on texts goes in runs of documents of about this many bytes, whatever the Arrow batch holds.
 CHUNK_BYTES = 600_000
 #: Bytes of an Arrow batch to and from Python, of which a task holds a few at once; a longer row is a batch of its own.
@@ -29,10 +30,7 @@ def put(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 def reliable(df: DataFrame) -> DataFrame:
     """Cut lineage through the folder in spark.checkpoint.dir, which every executor shares."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="satlake-"))
-    return df.checkpoint(eager=True)
+    return cut(df)
 
 
 def small_batches(spark: SparkSession) -> None:
