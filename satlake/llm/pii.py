@@ -250,7 +250,7 @@ def _sentence(r: random.Random) -> tuple[list[str], list[int]]:
         return r.choice([
             lambda: [r.choice(["version", "Version", "v", "License,"]), d(1) + r.choice([".", ".0.", ".1", ".0.1"])], lambda: [f"20{d(2)}-0{r.randint(1, 9)}-1{d(1)}"], lambda: [d(r.randint(1, 4))], lambda: [d(2) + ":" + d(2)],
             lambda: ["token", "=", '"' + "".join(r.choice("0123456789abcdef") for _ in range(40)) + '"'], lambda: ["password=" + "".join(r.choice("0123456789abcdef") for _ in range(18))], lambda: ["AKIA" + "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16))],
-            lambda: ["$" + d(3) + "." + d(2)], lambda: [d(r.choice([5, 6, 7, 8, 9, 12, 13, 14, 20, 24]))], lambda: ["id", d(r.randint(4, 10))], lambda: ["@" + word().strip(",.")], lambda: ["CC", "BY-NC", "4.0."], lambda: [word().strip(",.") + d(2)], lambda: [d(1) + "." + d(1) + "." + d(1)], lambda: [d(16) if not luhn(x := d(16)) else x[:-1]],
+            lambda: ["$" + d(3) + "." + d(2)], lambda: [d(r.choice([5, 6, 7, 8, 9, 12, 13, 14, 20, 24]))], lambda: ["id", d(r.randint(4, 10))], lambda: ["@" + word().strip(",.")], lambda: ["CC", "BY-NC", "4.0."], lambda: [word().strip(",.") + d(2)], lambda: [d(1) + "." + d(1) + "." + d(1)], lambda: [x if not luhn(x := d(16)) else x[:-1]],
         ])()
 
     cue = {1: ["mail", "email", "contact"], 2: ["host", "server", "ip"], 3: ["card", "visa"], 4: ["phone", "tel", "call"]}

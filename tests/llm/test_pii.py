@@ -184,11 +184,11 @@ def test_differing_tails_have_differing_features():
         assert not np.array_equal(pii.features(["a" * 5000]), pii.features(["a" * 5000 + tail]))
 
 
-def test_field_recall_on_planted_entities(model, sf):
+def test_field_recall_on_planted_entities(model):
     """What base rules find for sure is what documents have planted. The field alone, which doesn't see those spans, labels most of their characters."""
-    texts = [t for t in pq.read_table(f"{sf}/documents.parquet", columns=["text"]).column("text").to_pylist() if t]
+    texts = [t for t in pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text"]).column("text").to_pylist() if t]
     hit, total, wrong = pii.agreement(model, texts)
-    assert total > 20 and hit / total >= 0.9 and wrong / max(hit, 1) < 0.05, (hit, total, wrong)
+    assert total > 500 and hit / total >= 0.95 and wrong / max(hit, 1) < 0.05, (hit, total, wrong)
 
 
 @pytest.mark.parametrize("make", [odd_docs, no_docs])
