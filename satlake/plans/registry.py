@@ -13,6 +13,7 @@ from satlake.operators import derive, parse, trace
 from satlake.operators.lineage import cut, shared_folder
 from satlake.plans import api
 from satlake.plans.ledger import WIDTH, Ledger, sql
+from satlake.sources import rpc
 from satlake.sources.store import FACTS, Store
 from satlake.streaming import ingest
 
@@ -453,16 +454,23 @@ def script_type_names(g: Ledger) -> DataFrame:
 # ---------------------------------------------------------------- filters, scans, pages, reports
 
 
+def by_bucket(g: Ledger) -> DataFrame:
+    """Outputs as the store lays them out: a folder for each bucket of heights."""
+    at = f"{shared_folder(g.spark)}/outputs-{uuid.uuid4().hex}"
+    derive.with_bucket(g.outputs, WIDTH).write.partitionBy("height_bucket").parquet(at)
+    return g.spark.read.parquet(at)
+
+
 @query(sql("SELECT o.* FROM outputs o, middle WHERE block_height BETWEEN h - 200 AND h + 200", "outputs", "middle"))
 def height_range(g: Ledger) -> DataFrame:
     h = middle(g)
-    return derive.height_between(derive.with_bucket(g.outputs, WIDTH), h - 200, h + 200, WIDTH).drop("height_bucket")
+    return derive.height_between(by_bucket(g), h - 200, h + 200, WIDTH).drop("height_bucket")
 
 
 @query(sql(f"SELECT o.* FROM outputs o, middle WHERE block_height // {WIDTH} = h // {WIDTH}", "outputs", "middle"))
 def partition_scan(g: Ledger) -> DataFrame:
-    """One partition of outputs by its number."""
-    return derive.with_bucket(g.outputs, WIDTH).where(F.col("height_bucket") == middle(g) // WIDTH).drop("height_bucket")
+    """One partition of outputs by its number: the others aren't read."""
+    return by_bucket(g).where(F.col("height_bucket") == middle(g) // WIDTH).drop("height_bucket")
 
 
 @query(sql("SELECT * FROM sums WHERE address LIKE 'addr1%'", "sums"))
@@ -538,10 +546,16 @@ def sync_progress(g: Ledger) -> DataFrame:
     "SELECT tip, b AS batch, CAST(b * 12 AS BIGINT) AS first, CAST(least(b * 12 + 11, greatest(tip - 10, 0)) AS BIGINT) AS last FROM (SELECT unnest([5, 10, 11, 45, 1000]) AS tip) t, range(200) r(b) WHERE b * 12 <= greatest(tip - 10, 0)".replace("[5, 10, 11, 45, 1000]", "[CAST(5 AS BIGINT), 10, 11, 45, 1000]")
 )
 def safe_tip_batches(g: Ledger) -> DataFrame:
-    """The height ranges that an ingest from 0 in batches of 12 reads, ten blocks behind the tip."""
-    tips = g.spark.createDataFrame([(t,) for t in (5, 10, 11, 45, 1000)], "tip bigint")
-    safe = F.greatest(F.col("tip") - 10, F.lit(0))
-    return tips.select("tip", F.posexplode(F.sequence(F.lit(0), safe, F.lit(12))).alias("n", "first")).select("tip", F.col("n").cast("bigint").alias("batch"), "first", F.least(F.col("first") + 11, safe).alias("last"))
+    """The height ranges that a stream from 0 in batches of 12 gives out, ten blocks behind the tip, for five tips: its own offsets, asked for until they stay."""
+    rows = []
+    for tip in (5, 10, 11, 45, 1000):
+        stream = rpc.RpcStream({"batch": "12", "confirmations": "10"})
+        stream.tip, stream.ask_at = tip, float("inf")
+        at = stream.initialOffset()["next"]
+        while (end := stream.latestOffset()["next"]) > at:
+            rows.append((tip, len([r for r in rows if r[0] == tip]), at, end - 1))
+            at = end
+    return g.spark.createDataFrame(rows, "tip bigint, batch bigint, first bigint, last bigint")
 
 
 @query(sql("SELECT block_height // 1000 AS bucket, count(*) AS n_outputs, CAST(sum(value_sats) AS BIGINT) AS value_sats FROM outputs GROUP BY 1".replace("block_height // 1000", "CAST(block_height // 1000 AS INTEGER)"), "outputs"))

@@ -1,15 +1,7 @@
-"""DDL of the row types of the fact and derived tables, and of a block in JSON (verbosity 2)."""
+"""DDL of a block in JSON (verbosity 2)."""
 
 from __future__ import annotations
 
-BLOCKS = "height int, hash binary, prev_hash binary, merkle_root binary, block_time timestamp, bits bigint, nonce bigint, version int, size_bytes int, weight int, tx_count int, total_fees_sats bigint, indexed_at timestamp"
-TRANSACTIONS = "txid binary, block_height int, tx_index int, version int, locktime bigint, size_bytes int, vsize int, weight int, input_count int, output_count int, fee_sats bigint, is_coinbase boolean, has_segwit boolean, indexed_at timestamp"
-OUTPUTS = "txid binary, vout_idx int, block_height int, value_sats bigint, script_type smallint, script_pubkey binary, address string"
-INPUTS = "txid binary, vin_idx int, block_height int, prev_txid binary, prev_vout int, script_sig binary, witness array<binary>, sequence_no bigint"
-ADDRESS_TRANSACTIONS = "address string, block_height int, tx_index int, txid binary, role smallint, net_value_sats bigint, block_time timestamp"
-UTXO = "txid binary, vout_idx int, block_height int, value_sats bigint, script_type smallint, address string"
-BALANCES = "address string, balance_sats bigint, total_received_sats bigint, total_sent_sats bigint, tx_count bigint, utxo_count bigint, first_seen_height int, last_seen_height int"
-
 VIN = "array<struct<coinbase: string, txid: string, vout: int, scriptSig: struct<hex: string>, txinwitness: array<string>, sequence: bigint>>"
 VOUT = "array<struct<value: decimal(18,8), n: int, scriptPubKey: struct<hex: string, type: string, address: string, addresses: array<string>>>>"
 TX = f"array<struct<txid: string, version: int, locktime: bigint, size: int, vsize: int, weight: int, fee: decimal(18,8), vin: {VIN}, vout: {VOUT}>>"

@@ -33,3 +33,10 @@ def test_pushdown(spark, sf):
     plan = Ledger(spark, sf).spends._jdf.queryExecution().executedPlan().toString()
     assert "l_comment" not in plan and "PushedFilters: [IsNotNull(l_orderkey)]" in plan or "PushedFilters" in plan
     assert "BatchEvalPython" not in plan and "CartesianProduct" not in plan
+
+
+def test_buckets_are_pruned(spark, sf):
+    for name in ("partition_scan", "height_range"):
+        df = registry.QUERIES[name](spark, sf)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(height_bucket" in plan
