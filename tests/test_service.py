@@ -19,7 +19,7 @@ def write(path, **values):
 
 def test_indexer_resumes_from_the_store(spark, chain, tmp_path):  # noqa: F811
     """Settings drive the services: two runs of the indexer, then the backfill in ranges; no checkpoint is shared."""
-    cfg = IngestConfig.load(write(tmp_path / "c.yaml", store_url=tmp_path / "s", rpc_url=f"file:{chain}", batch_size=8, workers=3), {})
+    cfg = IngestConfig.load(write(tmp_path / "c.yaml", store_url=tmp_path / "s", rpc_url=f"file:{chain}", batch_size=12, workers=3), {})
     assert cfg.historical_sync and cfg.port == 8080
     tip(chain, 21)
     store = service.indexer(spark, cfg, threading.Event(), once=True)
@@ -28,12 +28,12 @@ def test_indexer_resumes_from_the_store(spark, chain, tmp_path):  # noqa: F811
     assert service.first_height(store, cfg) == 12
     service.indexer(spark, cfg, threading.Event(), once=True)
     assert store.last_height() == 29 and store.manifest()["ranges"] == [[0, 29]]
-    some = BackfillConfig.load(write(tmp_path / "b.yaml", store_url=tmp_path / "s", batch_size=7, end_height=15, skip_spend_state="true"))
+    some = BackfillConfig.load(write(tmp_path / "b.yaml", store_url=tmp_path / "s", batch_size=8, end_height=15, skip_spend_state="true"))
     assert service.backfill(spark, some) == {"last_height": 29}
     assert store.manifest()["done"]["spend"] == [] and store.manifest()["done"]["senders"] == [[0, 15]]
     report = service.backfill(spark, BackfillConfig(store_url=str(tmp_path / "s")))
     assert report["negative_balances"] == 0 and report["last_height"] == 29 and report["utxo_set"] == store.derived("utxo_set").count()
-    live = service.indexer(spark, IngestConfig.load(None, {"RPC_URL": f"file:{chain}", "DATABASE_URL": str(tmp_path / "live"), "HISTORICAL_SYNC": "false", "BATCH_SIZE": "11", "WORKERS": "x"}), threading.Event(), once=True)
+    live = service.indexer(spark, IngestConfig.load(None, {"RPC_URL": f"file:{chain}", "DATABASE_URL": str(tmp_path / "live"), "HISTORICAL_SYNC": "false", "BATCH_SIZE": "20", "WORKERS": "x"}), threading.Event(), once=True)
     assert live.whole(*STEPS) and derived(live) == derived(store)
 
 
