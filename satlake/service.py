@@ -46,20 +46,25 @@ def indexer(spark: SparkSession, cfg: IngestConfig, stop: threading.Event, once:
     after the store's last height, so a lost checkpoint loses nothing. A failed range is tried again after `retry` seconds."""
     spark.dataSource.register(rpc.RpcBlocks)
     store = Store(spark, cfg.store_url)
+    at = first_height(store, cfg)
     while not stop.is_set():
-        at = first_height(store, cfg)
+        checkpoint = f"checkpoint/{uuid.uuid4().hex}"
         try:
             log.info("from height %d, %s", at, progress(store, cfg))
             blocks = spark.readStream.format("rpc_blocks").options(start=at, **options(cfg)).load()
-            query = ingest.start(spark, blocks, store, f"{store.root}/checkpoint/{uuid.uuid4().hex}", cfg.historical_sync, None if once else "0 seconds")
+            query = ingest.start(spark, blocks, store, f"{store.root}/{checkpoint}", cfg.historical_sync, None if once else "0 seconds")
             while not stop.is_set() and not query.awaitTermination(1):
                 pass
             query.stop()
+            at = max(at, store.last_height() + 1)
             if once and query.exception() is None:
                 return store
         except Exception:
-            log.exception("ingest from height %d failed, again in %s s", at, retry)
+            at = max(at, store.last_height() + 1)
+            log.exception("ingest failed, from height %d again in %s s", at, retry)
             stop.wait(retry)
+        finally:
+            store.drop(checkpoint)
     return store
 
 

@@ -19,7 +19,6 @@ import uuid
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -136,8 +135,8 @@ class Store:
         try:
             context.rename(self._fs.makeQualified(new), self._fs.makeQualified(at), none)
         except Exception as e:
-            if isinstance(e, PySparkException) or "FileAlreadyExists" in str(e):
-                self._fs.delete(new, False)
+            self._fs.delete(new, False)
+            if "AlreadyExists" in str(e):
                 raise Conflict(f"version {m['version']} has been committed by another writer") from e
             raise
 
@@ -274,6 +273,10 @@ class Store:
                 self._merge(m, t, 0, 1 + max(p["level"] for p in parts))
         self._publish(m)
 
+    def drop(self, folder: str) -> None:
+        """Delete a folder beside the tables, such as a stream's checkpoint."""
+        self._fs.delete(self._path(f"{self.root}/{folder}"), True)
+
     def vacuum(self) -> int:
         """Delete older manifests, staged files and folders that the manifest doesn't name. Not while another job reads an older version or writes."""
         m = self.manifest()
