@@ -37,8 +37,8 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
-def texts_of(array: pa.Array) -> Iterator[list[str]]:
-    """Consecutive runs of an array's texts (null: empty), each made into Python strings only when it is reached."""
+def runs_of(array: pa.Array) -> Iterator[pa.Array]:
+    """Consecutive runs of an array's texts."""
     size = pc.binary_length(array).fill_null(0).to_numpy(zero_copy_only=False)
     at = 0
     while at < len(array):
@@ -46,10 +46,16 @@ def texts_of(array: pa.Array) -> Iterator[list[str]]:
         while end < len(array) and total + size[end] <= CHUNK_BYTES:
             total += int(size[end])
             end += 1
-        yield [t or "" for t in array.slice(at, end - at).to_pylist()]
+        yield array.slice(at, end - at)
         at = end
 
 
+def texts_of(array: pa.Array) -> Iterator[list[str]]:
+    """Consecutive runs of an array's texts (null: empty), each made into Python strings only when it is reached."""
+    for run in runs_of(array):
+        yield [t or "" for t in run.to_pylist()]
+
+
 def give_back() -> None:
     """Hand freed memory back to the system: a Python worker idles on after its task, beside those of later stages."""
     pa.default_memory_pool().release_unused()

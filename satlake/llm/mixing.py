@@ -1,9 +1,9 @@
 """Mixing sources to target weights: iterative proportional fitting (raking), then sampling by calibrated probabilities.
 
-Tokens (words between ASCII white space) are summed up by cell (source, language, topic); topics come from a classifier that is fitted to a bounded sample of the table
+Tokens (words between ASCII white space) are summed up by cell (source, language, topic); topics come from a classifier that is fitted to all of the table
 (`topics`), or from the caller's column. From `budget` times all tokens, the cells' expected
-tokens are scaled to the target shares of each margin in turn, never above what a cell holds, until all margins fit. A document's
-probability is its cell's expected tokens over the tokens it holds; a document is drawn if a uniform number hashed from its id and
+tokens are scaled to the target shares of each margin in turn, never above what a cell holds, until all margins fit and
+no cell's probability moves by more than `close`. A document's probability is its cell's expected tokens over the tokens it holds; a document is drawn if a uniform number hashed from its id and
 the seed is below it, so a draw doesn't depend on order, partitions or retries, and rows of one id are drawn together.
 
 Margins that contradict each other can't all be met (a topic that only one language has, with targets that part them), and raking then ends with a gap: the
@@ -11,6 +11,8 @@ largest distance of a category's expected share from its target. It stands in ev
 
 Targets: for each margin a mapping from category to weight (categories that it leaves out get none), or a power: shares are the
 categories' own shares to that power, made to sum to 1. A category that holds fewer tokens than its share of the budget gives all, and the others share the rest.
+The cells of such a category near all they hold slowly; if the rounds end before that with a gap above `FITS`, they are given whole and as many rounds go on with the other cells, where that leaves a
+smaller gap.
 
 Null category: the empty string. Null or empty text: no tokens; its cell's probability, or the budget if the cell has no tokens. Null id: hashed as such.
 
@@ -33,6 +35,8 @@ from satlake.llm.common import reliable
 from satlake.llm.topics import Topics
 
 MARGINS = ("source", "lang", "topic")
+ALL = 1 - 1e-12  # a category whose target is this part of what it holds gives all
+FITS = 1e-7  # margins that the rounds bring so near their targets are left as they are
 
 
 @dataclass(frozen=True)
@@ -69,14 +73,22 @@ def shares(target: Mapping[str, float] | float, held: Mapping[str, float], budge
 def rake(tokens: np.ndarray, codes: list[np.ndarray], want: list[np.ndarray], budget: float, rounds: int, close: float) -> np.ndarray:
     """Expected tokens of each cell. codes: a cell's category by margin; want: target shares by category."""
     total = budget * tokens.sum()
-    x = budget * tokens.astype(np.float64)
-    for _ in range(rounds):
-        before = x
-        for c, w in zip(codes, want, strict=True):
-            sums = np.bincount(c, x, len(w))
-            x = np.minimum(x * np.divide(w * total, sums, out=np.zeros(len(w)), where=sums > 0)[c], tokens)
-        if np.abs(x - before).max(initial=0) <= close * max(total, 1):
-            break
+
+    def steps(x: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, bool]:
+        for _ in range(rounds):
+            before = x
+            for c, w in zip(codes, want, strict=True):
+                sums, left = np.bincount(c, np.where(whole, 0, x), len(w)), np.maximum(w * total - np.bincount(c, np.where(whole, x, 0), len(w)), 0)
+                x = np.where(whole, x, np.minimum(x * np.divide(left, sums, out=np.zeros(len(w)), where=sums > 0)[c], tokens))
+            if (np.abs(x - before) <= close * tokens).all():
+                return x, True
+        return x, False
+
+    x, settled = steps(budget * tokens.astype(np.float64), np.zeros(len(tokens), bool))
+    gives_all = np.any([(w * total >= np.bincount(c, tokens, len(w)) * ALL)[c] for c, w in zip(codes, want, strict=True)], axis=0) & (x > 0)
+    if not settled and gives_all.any() and gap(x, tokens, codes, want, budget) > FITS:
+        y, _ = steps(np.where(gives_all, tokens, x), gives_all)
+        x = min(x, y, key=lambda v: gap(v, tokens, codes, want, budget))
     return x
 
 
@@ -129,20 +141,34 @@ def _in_tables(cells: DataFrame, p: Mix) -> DataFrame:
                 break
             scale, full = (max(0.0, 1 - taken) / free if free else scale), n
         raw = raw.withColumn("share", F.least(F.col("raw") * F.lit(scale), F.col("most")))
-        x = x.join(raw.select(F.col("c").alias(m), F.col("share").alias(f"want_{m}")), m, "left")
-    x = reliable(x.fillna(0.0, [f"want_{m}" for m in MARGINS]))
-    for _ in range(p.rounds):
-        y = x.withColumn("before", F.col("x"))
-        for m in MARGINS:
-            sums = y.groupBy(F.col(m).alias("c")).agg(F.sum("x").alias("s"))
-            y = y.join(sums, F.col(m) == F.col("c")).withColumn("x", F.when(F.col("s") > 0, F.least(F.col("x") * F.col(f"want_{m}") * F.lit(total) / F.col("s"), F.col("tokens").cast("double"))).otherwise(0.0)).drop("c", "s")
-        y = reliable(y)
-        moved = y.agg(F.max(F.abs(F.col("x") - F.col("before")))).first()[0] or 0.0
-        x = y.drop("before")
-        if moved <= p.close * max(total, 1):
-            break
-    off = [x.groupBy(m).agg(F.abs(F.sum("x") / F.lit(max(total, 1e-300)) - F.max(f"want_{m}")).alias("off")).agg(F.max("off")).first()[0] or 0.0 for m in MARGINS] if total else [0.0]
-    found = _told(max(off), p)
+        x = x.join(raw.select(F.col("c").alias(m), F.col("share").alias(f"want_{m}"), (F.col("share") >= F.col("most") * ALL).alias(f"all_{m}")), m, "left")
+    x = reliable(x.fillna(0.0, [f"want_{m}" for m in MARGINS]).fillna(False, [f"all_{m}" for m in MARGINS]).withColumn("whole", F.lit(False)))
+
+    def steps(x: DataFrame) -> tuple[DataFrame, bool]:
+        for _ in range(p.rounds):
+            y = x.withColumn("before", F.col("x"))
+            for m in MARGINS:
+                sums = y.groupBy(F.col(m).alias("c")).agg(F.sum(F.when(F.col("whole"), 0.0).otherwise(F.col("x"))).alias("s"), F.sum(F.when(F.col("whole"), F.col("x")).otherwise(0.0)).alias("w"))
+                left = F.greatest(F.col(f"want_{m}") * F.lit(total) - F.col("w"), F.lit(0.0))
+                free = F.when(F.col("s") > 0, F.least(F.col("x") * left / F.col("s"), F.col("tokens").cast("double"))).otherwise(0.0)
+                y = y.join(sums, F.col(m) == F.col("c")).withColumn("x", F.when(F.col("whole"), F.col("x")).otherwise(free)).drop("c", "s", "w")
+            y = reliable(y)
+            moving = y.agg(F.count_if(F.abs(F.col("x") - F.col("before")) > F.col("tokens") * p.close)).first()[0]
+            x = y.drop("before")
+            if not moving:
+                return x, True
+        return x, False
+
+    def off(x: DataFrame) -> float:
+        return max(x.groupBy(m).agg(F.abs(F.sum("x") / F.lit(max(total, 1e-300)) - F.max(f"want_{m}")).alias("off")).agg(F.max("off")).first()[0] or 0.0 for m in MARGINS) if total else 0.0
+
+    x, settled = steps(x)
+    found = off(x)
+    y = x.withColumn("whole", (F.col("x") > 0) & (F.col("all_source") | F.col("all_lang") | F.col("all_topic")))
+    if not settled and found > FITS and not y.where("whole").isEmpty():
+        y, _ = steps(y.withColumn("x", F.when(F.col("whole"), F.col("tokens").cast("double")).otherwise(F.col("x"))))
+        x, found = min((x, found), (y, off(y)), key=lambda v: v[1])
+    found = _told(found, p)
     return x.select(*MARGINS, F.when(F.col("tokens") > 0, F.col("x") / F.col("tokens")).otherwise(F.lit(p.budget)).alias("prob"), F.lit(found).alias("gap"))
 
 
@@ -159,4 +185,5 @@ def mix(df: DataFrame, p: Mix = Mix(), id: str = "doc_id", text: str = "text", s
     fitted = _on_driver(cells, p) if few else _in_tables(cells, p)
     digits = F.substring(F.md5(F.concat_ws(":", F.lit(str(p.seed)), F.col(f"row.`{id}`").cast("string"))), 1, 13)
     u = F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
-    return docs.join(fitted, list(MARGINS)).select("row", *MARGINS, "n_tokens", "prob", (u < F.col("prob")).alias("drawn"), "gap")
+    # every row has its cell; an inner join would first look for null topics, and find each text's topic twice
+    return docs.join(fitted, list(MARGINS), "left").select("row", *MARGINS, "n_tokens", "prob", (u < F.col("prob")).alias("drawn"), "gap")

@@ -172,3 +172,64 @@ def test_query_against_brute_force(spark, sf):
 def test_query(spark, sf):
     rows = op1_mix(spark, sf).collect()
     assert len(rows) == spark.read.parquet(f"{sf}/documents.parquet").count() and 0 < sum(r.drawn for r in rows) < len(rows)
+
+
+def test_raking_gives_full_categories_whole():
+    """A category that holds just its target meets it exactly, however slowly scaling alone nears that."""
+    r = np.random.default_rng(11)
+    tokens, codes = np.round(r.lognormal(5, 1.5, 60)), [r.integers(0, 5, 60), r.choice(4, 60, p=[0.6, 0.2, 0.15, 0.05]), r.choice(5, 60, p=[0.6, 0.2, 0.1, 0.07, 0.03])]
+    want = [np.array([*mixing.shares(power, dict(enumerate(np.bincount(c, tokens))), 0.5).values()]) for power, c in zip((0.5, 0.7, 0.7), codes, strict=True)]
+    slow = np.array(brute(tokens.tolist(), [c.tolist() for c in codes], want, 0.5, 60))
+    x = mixing.rake(tokens, codes, want, 0.5, 60, 1e-12)
+    assert mixing.gap(slow, tokens, codes, want, 0.5) > 1e-4 and mixing.gap(x, tokens, codes, want, 0.5) < 1e-9
+    assert x.sum() == pytest.approx(0.5 * tokens.sum(), rel=1e-9) and (x <= tokens).all()
+
+
+def plain_fit(docs, p):
+    """The vocabulary, its weights, and what a round of k-means makes of centres, over all different texts."""
+    held, n = {}, Counter()
+    for lang, text in docs:
+        n[lang] += 1
+        held.setdefault(lang, Counter()).update(set(text.encode().split()))
+    words = {g: sorted((w for w, k in c.items() if 2 * k <= n[g]), key=lambda w: (-c[w], w))[: p.words] for g, c in held.items()}
+    return words, {g: np.log([n[g] / held[g][w] for w in ws]) for g, ws in words.items()}
+
+
+def test_model_is_of_all_texts(spark, monkeypatch):
+    """3,000 different texts, more than the sample there once was: words, frequencies and centres are those of all, whatever the units, rows and order."""
+    r = random.Random(12)
+    docs = [(g, " ".join(r.choices([f"{g}{k}{i}" for i in range(40)] + [f"{g}x{i}" for i in range(200)], k=r.randrange(3, 30)))) for g, k in r.choices([(g, k) for g in "ab" for k in range(3)], k=3000)]
+    docs = sorted(set(docs)) + [("c", "too few")]
+    df = spark.createDataFrame(docs + docs[:500], "lang string, text string")
+    p = topics.Topics(count=3, words=300, rounds=60)
+    model = topics.fit(df, F.col("text"), F.col("lang"), p)
+    words, rare = plain_fit(docs, p)
+    assert set(model) == {"a", "b"}
+    for g, (place, weight) in model.items():
+        assert sorted(place, key=place.get) == words[g]
+        x = np.array([[t.split().count(w.decode()) for w in words[g]] for lang, t in docs if lang == g]) * rare[g]
+        x = x[x.any(axis=1)]
+        x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+        centre = (weight / rare[g][:, None]).T
+        own = (x @ centre.T).argmax(axis=1)
+        assert np.bincount(own, minlength=3).tolist() == sorted(np.bincount(own, minlength=3).tolist(), reverse=True)
+        for k in range(3):  # settled: each centre is the mean direction of all texts next to it
+            mean = x[own == k].sum(axis=0)
+            assert centre[k] == pytest.approx(mean / np.sqrt(mean @ mean), abs=1e-6)
+    monkeypatch.setattr(topics, "UNIT", 1500)
+    monkeypatch.setattr(topics, "ROW", 70)
+    again = topics.fit(df.orderBy(F.rand(8)).repartition(3), F.col("text"), F.col("lang"), p)
+    assert all(again[g][0] == model[g][0] and (again[g][1] == model[g][1]).all() for g in model)
+
+
+def test_units():
+    """Words as bytes.split() cuts them, each text's different ones with their counts, in units of few words and many languages."""
+    texts = ["", " a\tb\x0ba\x0cc\r\n ", "\x1c x  y a", "a" * 70, "é é é\x00 é"] * 3
+    batch = topics.pa.RecordBatch.from_arrays([topics.pa.array(range(15)), topics.pa.array([f"g{i % 2}" for i in range(15)]), topics.pa.array(texts)], names=["key", "lang", "text"])
+    got = {}
+    for row in topics.units(iter([batch.slice(0, 7), batch.slice(7)])):
+        for lang, words, keys, sizes, ids, counts in topics.read(row):
+            at = np.cumsum(sizes) - sizes
+            for k, a, n in zip(keys.tolist(), at, sizes, strict=True):
+                got[k] = lang, {words[i]: c for i, c in zip(ids[a : a + n], counts[a : a + n].tolist(), strict=True)}
+    assert got == {i: (f"g{i % 2}", dict(Counter(t.encode().split()))) for i, t in enumerate(texts)}
