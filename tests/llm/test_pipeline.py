@@ -1,10 +1,11 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as C
-from satlake.llm import mixing, quality
+from satlake.llm import mixing, quality, topics
 from tests.llm import test_linededup, test_ngramjoin, test_quality
 from tests.llm.helpers import no_docs, odd_docs
 
@@ -93,3 +94,21 @@ def test_odd_tables(spark, make):
             d = stage(spark, d, "")
             assert stage is C.encode or d.columns == extra.columns
             d = spark.createDataFrame(d.collect(), d.schema)
+
+
+def test_mixing_fits_topics_to_all_texts(spark, monkeypatch):
+    """2,500 different texts, some twice: the stage's document frequencies are those of all."""
+    seen = {}
+    plain = topics.vocabulary
+
+    def spy(texts, docs, p):
+        seen["docs"], seen["words"] = docs, plain(texts, docs, p)
+        return seen["words"]
+
+    monkeypatch.setattr(topics, "vocabulary", spy)
+    texts = [f"w{i % 7} v{i % 11} only{i}" for i in range(2500)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts + texts[:300])], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    C.mix_sources(spark, docs, "").collect()
+    held = Counter(w for t in texts for w in t.encode().split())
+    assert seen["docs"] == {"en": 2500}
+    assert seen["words"]["en"] == sorted(held.items(), key=lambda x: (-x[1], x[0]))[:4096]
