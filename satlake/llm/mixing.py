@@ -23,7 +23,7 @@ beyond that the same steps run as sums and joins over the table of cells. Sums b
 from __future__ import annotations
 
 import warnings
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -172,18 +172,22 @@ def _in_tables(cells: DataFrame, p: Mix) -> DataFrame:
     return x.select(*MARGINS, F.when(F.col("tokens") > 0, F.col("x") / F.col("tokens")).otherwise(F.lit(p.budget)).alias("prob"), F.lit(found).alias("gap"))
 
 
-def mix(df: DataFrame, p: Mix = Mix(), id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", topic: Column | None = None) -> DataFrame:
-    """The input's rows in a struct `row`, with source, lang, topic, n_tokens, prob, `drawn` and `gap`."""
+def mix(df: DataFrame, p: Mix = Mix(), id: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang", topic: Column | None = None, keep: Sequence[str] | None = None) -> DataFrame:
+    """The input's rows in a struct `row`, with source, lang, topic, n_tokens, prob, `drawn` and `gap`. keep: the columns that `row` has, None: all. Rows without
+    the text are small: they are written once with their topics, which are found a second time otherwise."""
     name = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     if topic is None:
         found = topics.topic_of(df, topics.fit(df, F.col(text), F.col(lang), p.topics), F.col(text), F.col(lang))
     else:
         found = F.struct(n_tokens(F.col(text)).alias("n_tokens"), name(topic).alias("topic"))
-    docs = df.select(F.struct("*").alias("row"), name(F.col(source)).alias("source"), name(F.col(lang)).alias("lang"), found.alias("found")).select("row", "source", "lang", "found.topic", "found.n_tokens")
+    digits = F.substring(F.md5(F.concat_ws(":", F.lit(str(p.seed)), F.col(f"`{id}`").cast("string"))), 1, 13)
+    u = F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
+    row = F.struct("*" if keep is None else [F.col(f"`{c}`") for c in keep])
+    docs = df.select(row.alias("row"), u.alias("u"), name(F.col(source)).alias("source"), name(F.col(lang)).alias("lang"), found.alias("found")).select("row", "u", "source", "lang", "found.topic", "found.n_tokens")
+    if keep is not None and text not in keep:
+        docs = reliable(docs)
     cells = reliable(docs.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")))
     few = cells.count() <= p.driver_cells
     fitted = _on_driver(cells, p) if few else _in_tables(cells, p)
-    digits = F.substring(F.md5(F.concat_ws(":", F.lit(str(p.seed)), F.col(f"row.`{id}`").cast("string"))), 1, 13)
-    u = F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 52))
     # every row has its cell; an inner join would first look for null topics, and find each text's topic twice
-    return docs.join(fitted, list(MARGINS), "left").select("row", *MARGINS, "n_tokens", "prob", (u < F.col("prob")).alias("drawn"), "gap")
+    return docs.join(fitted, list(MARGINS), "left").select("row", *MARGINS, "n_tokens", "prob", (F.col("u") < F.col("prob")).alias("drawn"), "gap")

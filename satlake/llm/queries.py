@@ -18,7 +18,7 @@ SHARDS = 8
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source", "lang"))
+    df = mixing.mix(documents(spark, sf_dir).select("doc_id", "text", "source", "lang"), keep=["doc_id"])
     return df.select("row.doc_id", "source", "lang", "topic", "n_tokens", "prob", "drawn", "gap")
 
 

@@ -5,7 +5,9 @@ little and are left out, and of the rest the `words` most common make the vocabu
 add up to best; clusters are named t0, t1... by size, so a topic's name says which cluster of its language it is. A language with too few texts has one cluster, as have those
 beyond the `languages` with most texts.
 
-Texts are parsed once, into units of word numbers under a dictionary of the unit's own. Document frequencies are sums over the dictionaries; the vocabulary then turns units into vectors, and
+Texts are parsed once, into units of word numbers under a dictionary of the unit's own. Document frequencies are sums over the dictionaries. Most words stand in few texts and can't be among the most
+common: a unit gives the words that more than its `cut` of texts hold, what it keeps back is at most the sum of cuts, and so these partial sums bound each word's frequency from both sides. Words that
+may be among the most common by these bounds are counted exactly; where the bounds don't tell, all words are. The vocabulary then turns units into vectors, and
 each step of k-means is a pass over all vectors, of which only sums by cluster and word leave a task. For each first centre a few texts are drawn, with
 probabilities that grow with the distance from those chosen, by races of hashed numbers, and the one that leaves the least distance is chosen. Vectors and centres are whole multiples of 1 / ONE, whose products and sums doubles hold
 exactly, so the model doesn't depend on order, partitions or retries. The driver holds vocabularies and centres, whose size the parameters bound.
@@ -39,6 +41,12 @@ PART = 16 << 20
 RUN = 32_768
 #: Texts that are drawn for each first centre.
 DRAWS = 4
+#: Words that may be a language's most common by their bounds: beyond this many times `words`, all words are counted.
+LIKELY = 16
+#: Counts in a row of sums.
+COUNTS = 1024
+UNITS = "lang string, words binary, keys binary, sizes binary, ids binary, counts binary, docs binary, cut long"
+SUMS = "lang string, cluster int, texts long, sums binary"
 RACE = "lang string, pick int, draw int, left long, time double, key long, places binary, entries binary"
 
 
@@ -110,8 +118,8 @@ class Unit:
         self.words.append(words)
         self.n += len(words)
 
-    def row(self, lang: str) -> pa.RecordBatch:
-        """Each text's different words, and how often it has them."""
+    def row(self, lang: str, most: int) -> pa.RecordBatch:
+        """Each text's different words, how often it has them, how many texts hold each word, and as cut half the count of the `most`-th most common."""
         coded = pa.chunked_array(self.words, pa.string()).combine_chunks().dictionary_encode()
         sizes, n = np.concatenate(self.sizes), max(1, len(coded.dictionary))
         at = np.repeat(np.arange(len(sizes)), sizes) * n + coded.indices.to_numpy()
@@ -121,12 +129,14 @@ class Unit:
             at[i:j].sort()
         first = np.flatnonzero(np.diff(at, prepend=-1))
         doc, ids = np.divmod(at[first], n)
-        held = pack("\n".join(coded.dictionary.to_pylist()).encode())
-        values = [lang, held, np.concatenate(self.keys).tobytes(), np.bincount(doc, minlength=len(sizes)).astype(np.int32).tobytes(), planes(np.diff(ids, prepend=0)), planes(np.diff(first, append=len(at)))]
-        return pa.RecordBatch.from_arrays([pa.array([v]) for v in values], names=["lang", "words", "keys", "sizes", "ids", "counts"])
+        held = pack(pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary), "\n")[0].as_buffer().to_pybytes())
+        docs = np.bincount(ids, minlength=len(coded.dictionary))
+        cut = int(np.partition(docs, -most)[-most]) // 2 if len(docs) >= most else 0
+        values = [lang, held, np.concatenate(self.keys).tobytes(), np.bincount(doc, minlength=len(sizes)).astype(np.int32).tobytes(), planes(np.diff(ids, prepend=0)), planes(np.diff(first, append=len(at))), planes(docs), cut]
+        return pa.RecordBatch.from_arrays([pa.array([v]) for v in values], names=UNITS.replace(",", "").split()[::2])
 
 
-def units(texts: Batches) -> Batches:
+def units(texts: Batches, most: int = Topics.words) -> Batches:
     begun: dict[str, Unit] = {}
     for b in texts:
         keys, langs, column = b.column(0).to_numpy(), b.column(1).dictionary_encode(), b.column(2)
@@ -135,33 +145,96 @@ def units(texts: Batches) -> Batches:
             at = np.flatnonzero(codes == i)
             begun.setdefault(name, Unit()).add(keys[at], column.take(pa.array(at)))
             if begun[name].n >= UNIT:
-                yield begun.pop(name).row(name)
+                yield begun.pop(name).row(name, most)
         if sum(u.n for u in begun.values()) >= 2 * UNIT:  # many languages
-            most = max(begun, key=lambda g: begun[g].n)
-            yield begun.pop(most).row(most)
+            largest = max(begun, key=lambda g: begun[g].n)
+            yield begun.pop(largest).row(largest, most)
     for name, u in begun.items():
-        yield u.row(name)
+        yield u.row(name, most)
     give_back()
 
 
+def dictionary(data: bytes) -> pa.Array:
+    """A unit's words."""
+    words = unpack(data)
+    return pc.split_pattern(pa.array([words], pa.binary()), "\n").flatten() if words else pa.array([], pa.binary())
+
+
 def read(b: pa.RecordBatch) -> Iterator[tuple[str, list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(language, words, keys, sizes, ids, counts) of each unit."""
-    for r in b.to_pylist():
+    for lang, words, *more in arrays(b):
+        yield lang, words.to_pylist(), *more
+
+
+def arrays(b: pa.RecordBatch) -> Iterator[tuple[str, pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """The same, with the words as an array."""
+    for r in b.select(["lang", "words", "keys", "sizes", "ids", "counts"]).to_pylist():
         ids = np.cumsum(numbers(r["ids"]), dtype=np.uint32).astype(np.int64)
-        yield r["lang"], unpack(r["words"]).split(), np.frombuffer(r["keys"], np.int64), np.frombuffer(r["sizes"], np.int32), ids, numbers(r["counts"])
+        yield r["lang"], dictionary(r["words"]), np.frombuffer(r["keys"], np.int64), np.frombuffer(r["sizes"], np.int32), ids, numbers(r["counts"])
+
+
+def counted(b: pa.RecordBatch, docs: dict[str, int]) -> Iterator[tuple[str, pa.Array, np.ndarray, int]]:
+    """(language, words, texts that hold each, cut) of each unit."""
+    for lang, words, held, cut in zip(*(b.column(c) for c in ("lang", "words", "docs", "cut")), strict=True):
+        if lang.as_py() in docs:
+            yield lang.as_py(), dictionary(words.as_py()), numbers(held.as_py()).astype(np.int64), cut.as_py()
+
+
+def frequencies(batches: Batches, docs: dict[str, int], cuts: bool) -> Batches:
+    """(lang, word, n, cut) by unit, with cuts only of words that more texts hold."""
+    for b in batches:
+        for lang, words, n, cut in counted(b, docs):
+            if cuts and cut:
+                at = np.flatnonzero(n > cut)
+                words, n = words.take(pa.array(at)), n[at]
+            whole = pa.RecordBatch.from_arrays([pa.repeat(lang, len(words)), words, pa.array(n), pa.repeat(pa.scalar(cut, pa.int64()), len(words))], names=["lang", "word", "n", "cut"])
+            for at in range(0, len(words), 50_000):
+                yield whole.slice(at, 50_000)
+    give_back()
 
 
-def frequencies(batches: Batches, docs: dict[str, int]) -> Batches:
-    """(lang, word, n) by unit."""
+def exact(batches: Batches, words: dict[str, pa.Array]) -> Batches:
+    """(lang, part, 0, texts that hold each word of the part) of this task."""
+    sums: dict[str, np.ndarray] = {}
     for b in batches:
-        for lang, words, _, _, ids, _ in read(b):
-            if lang in docs:
-                whole = pa.RecordBatch.from_arrays([pa.repeat(lang, len(words)), pa.array(words, pa.binary()), pa.array(np.bincount(ids, minlength=len(words)))], names=["lang", "word", "n"])
-                for at in range(0, len(words), 50_000):
-                    yield whole.slice(at, 50_000)
+        for lang, held, n, _ in counted(b, words):
+            place = pc.index_in(held, value_set=words[lang]).fill_null(-1).to_numpy()
+            sums.setdefault(lang, np.zeros(len(words[lang]), np.int64))[place[place >= 0]] += n[place >= 0]  # a unit has a word once
+    yield from _rows((g, k, 0, s[at : at + COUNTS].tobytes()) for g, s in sums.items() for k, at in enumerate(range(0, len(s), COUNTS)))
     give_back()
 
 
+def likely(texts: DataFrame, docs: dict[str, int], p: Topics) -> dict[str, list[tuple[bytes, int]]]:
+    """The same as `vocabulary` for those languages whose most common words the bounds tell from nearly all others."""
+    sc = texts.sparkSession.sparkContext
+    cuts = {r.lang: r.cut for r in texts.groupBy("lang").agg(F.sum("cut").alias("cut")).collect() if r.lang in docs}
+    of = lambda x: F.try_element_at(F.create_map(*[F.lit(v) for g in sorted(x) for v in (g, x[g])]), F.col("lang"))
+    one = texts.mapInArrow(lambda b: frequencies(b, docs, True), "lang string, word binary, n long, cut long").groupBy("lang", "word").agg(F.sum("n").alias("n"), F.sum("cut").alias("cut"))
+    one = reliable(one.select("lang", "word", "n", (F.col("n") + of(cuts) - F.col("cut")).alias("most")).where(2 * F.col("n") <= of(docs)))
+    least: dict[str, int] = {}  # no fewer texts hold the last word of a language's vocabulary
+    seen: Counter = Counter()
+    for g, n, k in one.where(2 * F.col("most") <= of(docs)).groupBy("lang", "n").count().orderBy("lang", F.desc("n")).toArrow().select(["lang", "n", "count"]).to_pandas().itertuples(index=False):
+        seen[g] += k
+        if seen[g] >= p.words:
+            least.setdefault(g, n)
+    told = {g: least.get(g, 1) for g in docs if cuts[g] < least.get(g, 1)}  # no word that all units keep back is in so many texts
+    if not told:
+        return {}
+    some = one.where(F.col("most") >= of(told)).select("lang", "word")
+    few = {r.lang: r["count"] for r in some.groupBy("lang").count().collect() if r["count"] <= LIKELY * p.words}
+    words: dict[str, list[bytes]] = {g: [] for g in few}
+    for r in some.where(F.col("lang").isin(list(few))).orderBy("lang", "word").toArrow().to_pylist():
+        words[r["lang"]].append(r["word"])
+    shared = sc.broadcast({g: pa.array(w, pa.binary()) for g, w in words.items()})
+    part = texts.mapInArrow(lambda b: exact(b, shared.value), SUMS)
+    sums = {g: np.zeros(len(w), np.int64) for g, w in words.items()}
+    for r in part.repartition("lang", "cluster").mapInArrow(added, SUMS).toArrow().to_pylist():
+        n = np.frombuffer(r["sums"], np.int64)
+        sums[r["lang"]][r["cluster"] * COUNTS :][: len(n)] = n
+    shared.destroy()
+    return {g: heapq.nsmallest(p.words, ((w, n) for w, n in zip(words[g], sums[g].tolist(), strict=True) if 2 * n <= docs[g]), key=lambda x: (-x[1], x[0])) for g in words}
+
+
 def most_common(batches: Batches, docs: dict[str, int], words: int) -> Batches:
     """Of the whole table's frequencies in this task, all that can be among a language's `words` first."""
     kept: dict[str, list[tuple[int, bytes]]] = {g: [] for g in docs}
@@ -182,7 +255,12 @@ def most_common(batches: Batches, docs: dict[str, int], words: int) -> Batches:
 
 def vocabulary(texts: DataFrame, docs: dict[str, int], p: Topics) -> dict[str, list[tuple[bytes, int]]]:
     """The words of each language with the texts that hold them, most common first, ties by word."""
-    one = texts.mapInArrow(lambda b: frequencies(b, docs), "lang string, word binary, n long").repartition("lang", "word").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    told = likely(texts, docs, p)
+    found = {g: words for g, words in told.items() if words}
+    docs = {g: n for g, n in docs.items() if g not in told}
+    if not docs:
+        return found
+    one = texts.mapInArrow(lambda b: frequencies(b, docs, False), "lang string, word binary, n long, cut long").repartition("lang", "word").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     some = reliable(one.mapInArrow(lambda b: most_common(b, docs, p.words), "lang string, word binary, n long"))
     last: dict[str, int] = {}  # the frequency of a language's last word
     seen: Counter = Counter()
@@ -191,10 +269,9 @@ def vocabulary(texts: DataFrame, docs: dict[str, int], p: Topics) -> dict[str, l
             last[g] = n
             seen[g] += k
     if not last:
-        return {}
+        return found
     floor = F.broadcast(texts.sparkSession.createDataFrame(sorted(last.items()), "lang string, last long"))
     first = some.join(floor, "lang").where("n >= last").withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).where(F.col("rank") <= p.words)
-    found: dict[str, list[tuple[bytes, int]]] = {}
     for r in first.select("lang", "word", "n").orderBy("lang", "rank").toArrow().to_pylist():
         found.setdefault(r["lang"], []).append((r["word"], r["n"]))
     return found
@@ -203,11 +280,11 @@ def vocabulary(texts: DataFrame, docs: dict[str, int], p: Topics) -> dict[str, l
 def vectors(batches: Batches, places: dict[str, tuple[dict[bytes, int], np.ndarray]]) -> Batches:
     """Unit vectors of the texts that hold words of the vocabulary, one after another: keys, sizes, places and entries."""
     for b in batches:
-        for lang, words, keys, sizes, ids, counts in read(b):
+        for lang, words, keys, sizes, ids, counts in arrays(b):
             if lang not in places:
                 continue
             place, rare = places[lang]
-            at = np.array([place.get(w, -1) for w in words], np.int64)[ids] if words else ids
+            at = pc.index_in(words, value_set=pa.array(list(place), pa.binary())).fill_null(-1).to_numpy().astype(np.int64)[ids]
             known = at >= 0
             at = np.repeat(np.arange(len(sizes)), sizes)[known] * len(rare) + at[known]
             order = np.argsort(at)  # a text's sum of squares doesn't depend on its unit's dictionary
@@ -316,10 +393,9 @@ def clusters(x: DataFrame, words: dict[str, int], p: Topics) -> dict[str, np.nda
 
     def nearest(centres: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], dict[str, np.ndarray]]:
         """Texts of each cluster and their sums."""
-        shape = "lang string, cluster int, texts long, sums binary"
-        part, done = over(own_sums, shape, centres)
+        part, done = over(own_sums, SUMS, centres)
         texts, sums = {g: np.zeros(len(c), np.int64) for g, c in centres.items()}, {g: np.zeros(c.shape, np.int64) for g, c in centres.items()}
-        for r in part.repartition("lang", "cluster").mapInArrow(added, shape).toArrow().to_pylist():
+        for r in part.repartition("lang", "cluster").mapInArrow(added, SUMS).toArrow().to_pylist():
             texts[r["lang"]][r["cluster"]], sums[r["lang"]][r["cluster"]] = r["texts"], np.frombuffer(r["sums"], np.int64)
         done()
         return texts, sums
@@ -353,7 +429,7 @@ def clusters(x: DataFrame, words: dict[str, int], p: Topics) -> dict[str, np.nda
 def fit(df: DataFrame, text: Column, lang: Column, p: Topics = Topics()) -> Model:
     """Vocabularies and clusters from all different texts."""
     small_batches(df.sparkSession)
-    texts = reliable(different(df, text, lang, p).mapInArrow(units, "lang string, words binary, keys binary, sizes binary, ids binary, counts binary"))
+    texts = reliable(different(df, text, lang, p).mapInArrow(lambda b: units(b, p.words), UNITS))
     n = F.sum(F.octet_length("keys") / 8).cast("long")
     size = F.sum(F.octet_length("ids"))
     rows = texts.groupBy("lang").agg(n.alias("docs"), size.alias("size")).where(F.col("docs") >= p.fewest * p.count).orderBy(F.desc("docs"), "lang").limit(p.languages).collect()

@@ -233,3 +233,38 @@ def test_units():
             for k, a, n in zip(keys.tolist(), at, sizes, strict=True):
                 got[k] = lang, {words[i]: c for i, c in zip(ids[a : a + n], counts[a : a + n].tolist(), strict=True)}
     assert got == {i: (f"g{i % 2}", dict(Counter(t.encode().split()))) for i, t in enumerate(texts)}
+
+
+def test_topics_are_found_once(spark, sf):
+    """The result is read from what was written with topics: no text is parsed again for it."""
+    plan = op1_mix(spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "documents.parquet" not in plan
+    rows = mixing.mix(spark.read.parquet(f"{sf}/documents.parquet"), keep=["doc_id", "n_chars"])
+    assert rows.select("row.*").columns == ["doc_id", "n_chars"]
+    assert sorted(map(str, rows.select("row.doc_id", "topic", "prob", "drawn").collect())) == sorted(map(str, mixing.mix(spark.read.parquet(f"{sf}/documents.parquet")).select("row.doc_id", "topic", "prob", "drawn").collect()))
+
+
+def test_words_by_their_bounds(spark, monkeypatch):
+    """Units keep rare words back, and the most common ones and their counts are still exact; where bounds don't tell them ("b": each unit has words of its own), all words are counted."""
+    r = random.Random(9)
+    monkeypatch.setattr(topics, "UNIT", 3000)
+    texts = [("a", " ".join({f"a{min(int(r.paretovariate(0.7)), 3000)}" for _ in range(30)} | {"everywhere", f"once{i}"})) for i in range(800)]
+    texts += [("b", " ".join(f"b{i // 100}x{r.randrange(60)}" for _ in range(40))) for i in range(800)]
+    texts += [("c", f"c{i} c{i % 3}") for i in range(9)]
+    columns = [topics.pa.array(x) for x in (range(len(texts)), *zip(*texts, strict=True))]
+    batch = topics.pa.RecordBatch.from_arrays(columns, names=["key", "lang", "text"])
+    p = topics.Topics(words=50)
+    units = list(topics.units((batch.slice(i, 20) for i in range(0, len(texts), 20)), p.words))
+    df = spark.createDataFrame(topics.pa.Table.from_batches(units), topics.UNITS).repartition(4)
+    docs = {"a": 800, "b": 800, "c": 9}
+    want = {}
+    for g in docs:
+        held = Counter(w for lang, t in texts if lang == g for w in set(t.encode().split()))
+        want[g] = sorted(((w, n) for w, n in held.items() if 2 * n <= docs[g]), key=lambda x: (-x[1], x[0]))[:50]
+    told = topics.likely(df, docs, p)
+    assert set(told) == {"a", "c"} and told == {g: want[g] for g in told}
+    assert topics.vocabulary(df, docs, p) == want
+    monkeypatch.setattr(topics, "LIKELY", 0)
+    assert topics.likely(df, docs, p) == {} and topics.vocabulary(df, docs, p) == want
+    given, whole = (sum(b.num_rows for b in topics.frequencies(iter(units), {"a": 800}, cuts)) for cuts in (True, False))
+    assert given < whole / 3
