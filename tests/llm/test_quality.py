@@ -1,4 +1,6 @@
+import hashlib
 import math
+import random
 import re
 from collections import Counter
 
@@ -113,6 +115,21 @@ def test_bands_are_what_fitting_gives(spark):
     assert quality.fit(df.limit(0), MODEL) == {}
 
 
+def test_bands_are_fitted_to_all_documents(spark):
+    """4,300 documents and one that is farthest off, whose hash comes last: a sample of the 4,000 least hashes knew nothing of it."""
+    r = random.Random(2)
+    docs = [(i, "en", " ".join(r.choices(["house", "water", "people", "between", "country", "school", "never", "small"], k=r.randrange(24, 60)))) for i in range(4300)]
+    last = max(range(10_000, 30_000), key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    assert sum(hashlib.md5(str(i).encode()).hexdigest() < hashlib.md5(str(last).encode()).hexdigest() for i, *_ in docs) > 4000
+    odd = (last, "en", " ".join(["x7q", "z9k", "q4v", "j2w"] * 2 + [f"{a}{b}q" for a in "vwxyz" for b in "3579"]))
+    df = spark.createDataFrame([*docs, odd], "doc_id long, lang string, text string")
+    base = quality.Rules(share=100)
+    whole, part = quality.fit(df, MODEL, rules=base)["en"], quality.fit(df, MODEL, quality.Fit(sample=4000), base)["en"]
+    own = quality.judge(df.where(F.col("doc_id") == last), MODEL, base).first().quality
+    root = math.sqrt(own.n_words)
+    assert whole.least_chars - whole.chars_slack / root <= own.chars_per_token < part.least_chars - part.chars_slack / root
+
+
 def test_query(spark, sf):
     docs = {d.doc_id: d.text for d in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     for r in op6_fertility(spark, sf).collect():
